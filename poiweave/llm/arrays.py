@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -95,8 +99,18 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tup
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), rows
 
 
-def small_batches(spark) -> None:
-    """Long texts: no Arrow batch of more than 512 rows, unless the session sets fewer."""
+def prepare(spark) -> None:
+    """Ready a session for Python workers: bounded Arrow batches, and this package on every executor."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > 512 or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, "512")
+        spark.conf.set(key, "512")  # texts may be long
+    package = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(":") or getattr(context, "_poiweave_shipped", False):
+        return
+    path = Path(tempfile.mkdtemp()) / "poiweave.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(path))
+    context._poiweave_shipped = True

@@ -163,7 +163,7 @@ def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): the ids of every text, as text joined by one space."""
     spark = docs.sparkSession
-    A.small_batches(spark)
+    A.prepare(spark)
     known = spark.sparkContext.broadcast(dictionary(docs, path, pattern, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -122,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float | None = None, temperature: float = TEMPERATURE) -> DataFrame:
     """doc_id, n_grams, log_ratio, mean_ratio, key, kept: one row for each row of ``docs``."""
-    A.small_batches(docs.sparkSession)
+    A.prepare(docs.sparkSession)
     ratio = fit(docs, labels, id_col, text_col)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scored = read.mapInArrow(_scorer(ratio if ratio is not None else np.zeros(BUCKETS)), "doc_id long, n_grams long, log_ratio double, mean_ratio double")

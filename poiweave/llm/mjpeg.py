@@ -303,7 +303,7 @@ def describe(media: bytes) -> dict:
 
 def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, media: every text, padded with zeros to a positive multiple of 64, as an AVI."""
-    A.small_batches(docs.sparkSession)
+    A.prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two documents are linked where 100 * |A & B| >= threshold_pct * |A | B| over their shingle sets.
     """
     spark = docs.sparkSession
-    A.small_batches(spark)
+    A.prepare(spark)
     bands, rows = bands_for(threshold_pct)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = materialise(texts.mapInArrow(_signer(width, bands, rows, SKETCH_BITS), "id long, n long, s1 long, s2 long, bands array<long>, sketch array<long>"), "signed")

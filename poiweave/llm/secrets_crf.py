@@ -238,7 +238,7 @@ def redact(text: str | None, weights: dict, mark: str = "[SECRET]") -> str | Non
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Return doc_id, n_assign, n_access, n_hex, n_crf, base_sha256, spans: one row for each row of ``docs``."""
-    A.small_batches(docs.sparkSession)
+    A.prepare(docs.sparkSession)
     weights = model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +259,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with secrets replaced in the text column; all else unchanged."""
-    A.small_batches(docs.sparkSession)
+    A.prepare(docs.sparkSession)
     weights = model()
     at = docs.columns.index(text_col)
 

@@ -132,7 +132,7 @@ def _sharder(width: int, digest: str):
 
 def write_store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bytes]:
     """Write all documents; return the table of shards and the dictionary."""
-    A.small_batches(docs.sparkSession)
+    A.prepare(docs.sparkSession)
     width = id_width(path)
     dictionary = train_dictionary(docs, path, width, id_col, text_col)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
