@@ -2,8 +2,7 @@
 
 ``fold_words`` encodes a word in the JVM: its bytes (hex pairs) are the first pieces, and an
 ``aggregate`` folds merges over them, each time the leftmost adjacent pair of least rank, looked up in
-a literal rank map (a literal array of small maps, reached by hash, since one big map is searched
-linearly). ``decode`` looks every id up in a literal array of pieces and concatenates them.
+a literal rank map (a literal open-addressing table, since Spark searches a map linearly). ``decode`` looks every id up in a literal array of pieces and concatenates them.
 
 Words repeat, so distinct words are folded, not tokens. One pass counts the words of the corpus; the
 most frequent (at most DICTIONARY of them, a bound on memory, not on rows) are folded once and sent to
@@ -30,9 +29,9 @@ from poiweave.llm import arrays as A
 from poiweave.storage import materialise
 
 #: Distinct words sent to the workers, at most: about 200 bytes each in a Python dictionary.
-DICTIONARY = 500_000
+DICTIONARY = 700_000
 #: Slots of the literal rank map.
-SLOTS = 65_536
+SLOTS = 262_144
 _NONE = 2_147_483_647
 
 
@@ -43,43 +42,46 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def _murmur(data: bytes, seed: int = 42) -> int:
-    """Spark's ``hash`` of a string, to lay out the rank map."""
-    mask = 0xFFFFFFFF
-
-    def block(h: int, k: int) -> int:
-        k = k * 0xCC9E2D51 & mask
-        k = (k << 15 | k >> 17) & mask
-        h ^= k * 0x1B873593 & mask
-        h = (h << 13 | h >> 19) & mask
-        return (h * 5 + 0xE6546B64) & mask
-
-    h, whole = seed, len(data) // 4 * 4
-    for i in range(0, whole, 4):
-        h = block(h, int.from_bytes(data[i : i + 4], "little"))
-    for b in data[whole:]:  # Spark mixes trailing bytes one by one, signed
-        h = block(h, (b - 256 if b > 127 else b) & mask)
-    h ^= len(data)
-    h ^= h >> 16
-    h = h * 0x85EBCA6B & mask
-    h ^= h >> 13
-    h = h * 0xC2B2AE35 & mask
-    return h ^ h >> 16
+@lru_cache(maxsize=2)
+def _rank_table(path: str) -> tuple[str, int]:
+    """The rank map as an open-addressing table of longs (JSON text) and its longest probe.
 
+    The slot is the low bits of the key's 64-bit hash, the upper 48 bits of the entry confirm it, the
+    lower 16 are the rank; 0 is an empty slot.
+    """
+    import xxhash
 
-@lru_cache(maxsize=2)
-def _rank_json(path: str) -> str:
-    slots: list[dict] = [{} for _ in range(SLOTS)]
+    table, longest = [0] * (SLOTS + 64), 0
     for token, rank in load_ranks(path).items():
-        key = token.hex().upper()
-        h = _murmur(key.encode())
-        slots[(h - (1 << 32) if h >> 31 else h) % SLOTS][key] = rank
-    return json.dumps(slots, separators=(",", ":"))
+        if rank >= 1 << 16:
+            raise ValueError("ranks above 65535 do not fit the table")
+        h = xxhash.xxh64_intdigest(token.hex().upper(), 42)  # what Spark's xxhash64 gives
+        at = h & (SLOTS - 1)
+        while table[at]:
+            at += 1
+        longest = max(longest, at - (h & (SLOTS - 1)))
+        entry = h >> 16 << 16 | rank
+        table[at] = entry - (1 << 64) if entry >> 63 else entry
+    return json.dumps(table, separators=(",", ":")), longest + 1
 
 
 def rank_map(path: str) -> Column:
     """The literal rank map; constant folding turns the JSON text into a literal once."""
-    return F.from_json(F.lit(_rank_json(path)), "array<map<string,int>>")
+    return F.from_json(F.lit(_rank_table(path)[0]), "array<bigint>")
+
+
+def _rank(table: Column, key: Column, probes: int) -> Column:
+    """The rank of a piece in hex; null if it is no token."""
+
+    def look(h: Column) -> Column:
+        slot = h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+        out = F.lit(None).cast("int")
+        for k in reversed(range(probes)):
+            e = F.get(table, slot + k)
+            out = F.when(e == 0, F.lit(None).cast("int")).when(F.shiftrightunsigned(e.bitwiseXOR(h), 16) == 0, e.bitwiseAND(F.lit(65535)).cast("int")).otherwise(out)
+        return out
+
+    return _let(F.xxhash64(key), look)
 
 
 @lru_cache(maxsize=2)
@@ -96,41 +98,46 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def fold_words(word: Column, path: str) -> Column:
-    """The ids of one non-empty word, as text joined by one space."""
-    ranks = rank_map(path)
-    rank = lambda key: F.get(ranks, F.pmod(F.hash(key), F.lit(SLOTS)))[key]
-    rank_or_none = lambda key: F.coalesce(rank(key), F.lit(_NONE))
+def fold_words(words: Column, path: str) -> Column:
+    """The ids of each of an array of non-empty words, as text joined by one space."""
+    probes = _rank_table(path)[1]
 
-    def step(state: Column, _: Column) -> Column:
-        def merged(at: Column) -> Column:  # at: 1-based place of the pair to merge
+    def with_table(table: Column) -> Column:
+        rank = lambda key: _rank(table, key, probes)
+        rank_or_none = lambda key: F.coalesce(rank(key), F.lit(_NONE))
+        empty = F.array().cast("array<int>")
+
+        def step(state: Column, _: Column) -> Column:
             p, r = state["p"], state["r"]
 
-            def put(pair: Column) -> Column:
-                left = F.when(at > 1, F.array(rank_or_none(F.concat(F.get(p, at - 2), pair)))).otherwise(F.array().cast("array<int>"))
-                right = F.when(at < F.size(r), F.array(rank_or_none(F.concat(pair, F.get(p, at + 1))))).otherwise(F.array().cast("array<int>"))
-                return F.struct(
-                    F.concat(F.slice(p, 1, at - 1), F.array(pair), F.slice(p, at + 2, F.size(p))).alias("p"),
-                    F.concat(F.slice(r, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(r, at + 2, F.size(r))).alias("r"),
-                )
+            def merged(at: Column) -> Column:  # at: 1-based place of the pair to merge
+                def put(pair: Column) -> Column:
+                    left = F.when(at > 1, F.array(rank_or_none(F.concat(F.get(p, at - 2), pair)))).otherwise(empty)
+                    right = F.when(at < F.size(r), F.array(rank_or_none(F.concat(pair, F.get(p, at + 1))))).otherwise(empty)
+                    return F.struct(
+                        F.concat(F.slice(p, 1, at - 1), F.array(pair), F.slice(p, at + 2, F.size(p))).alias("p"),
+                        F.concat(F.slice(r, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(r, at + 2, F.size(r))).alias("r"),
+                    )
+
+                return _let(F.concat(F.get(p, at - 1), F.get(p, at)), put)
 
-            return _let(F.concat(F.get(p, at - 1), F.get(p, at)), put)
+            least = F.array_min(r)
+            return F.when(least < _NONE, _let(F.array_position(r, least).cast("int"), merged)).otherwise(state)
 
-        least = F.array_min(state["r"])
-        return F.when(least < _NONE, _let(F.array_position(state["r"], least).cast("int"), merged)).otherwise(state)
+        def merge(key: Column) -> Column:
+            n = (F.length(key) / 2).cast("int")
+            pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(key, i * 2 - 1, F.lit(2)))
 
-    def merge(key: Column) -> Column:
-        n = (F.length(key) / 2).cast("int")
-        pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(key, i * 2 - 1, F.lit(2)))
+            def run(p: Column) -> Column:
+                r = F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank_or_none(F.concat(F.get(p, i - 1), F.get(p, i))))
+                start = F.struct(p.alias("p"), r.alias("r"))
+                return F.aggregate(F.sequence(F.lit(1), n - 1), start, step, lambda s: F.array_join(F.transform(s["p"], lambda x: rank(x).cast("string")), " "))
 
-        def run(p: Column) -> Column:
-            r = F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank_or_none(F.concat(F.get(p, i - 1), F.get(p, i))))
-            start = F.struct(p.alias("p"), r.alias("r"))
-            return F.aggregate(F.sequence(F.lit(1), n - 1), start, step, lambda s: F.array_join(F.transform(s["p"], lambda x: rank(x).cast("string")), " "))
+            return _let(pieces, run)
 
-        return _let(pieces, run)
+        return F.transform(words, lambda w: _let(F.hex(w), lambda key: F.coalesce(rank(key).cast("string"), F.when(F.length(key) > 2, merge(key)))))
 
-    return _let(F.hex(word), lambda key: F.coalesce(rank(key).cast("string"), F.when(F.length(key) > 2, merge(key))))
+    return _let(rank_map(path), with_table)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -156,7 +163,7 @@ def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
         have, least = have + words, n
     if least is None:
         return {}
-    table = counts.where(F.col("n") >= least).select("word", fold_words(F.col("word"), path).alias("ids")).toArrow()
+    table = counts.where(F.col("n") >= least).select("word", fold_words(F.array("word"), path)[0].alias("ids")).toArrow()
     return dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
 
 
@@ -193,7 +200,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         pairs = F.zip_with("parts", "places", lambda s, i: F.array(s, F.coalesce(F.get(folded, i), F.lit(""))))
         return F.array_join(F.filter(F.flatten(pairs), lambda x: x != ""), " ")
 
-    return split.select("doc_id", _let(F.transform("cold", lambda w: fold_words(w, path)), joined).alias("ids"))
+    return split.select("doc_id", _let(fold_words(F.col("cold"), path), joined).alias("ids"))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -34,12 +34,15 @@ from poiweave.storage import discard, materialise
 END_ID = 1
 DICTIONARY_BYTES = 65_536
 #: Documents that train the dictionary, about; and the most entries of a worker's cache.
-SAMPLE_DOCUMENTS, CACHE = 1_000, 400_000
+SAMPLE_DOCUMENTS, CACHE = 1_000, 600_000
 #: A shard closes at this many bytes or documents.
 SHARD_BYTES, SHARD_DOCUMENTS = 8 << 20, 8_192
 LEVEL = 3
-#: Only these separate parts: a subset of what the tokenizer drops.
+#: str.split() also splits at these, which the tokenizer keeps; texts with them are split at plain gaps.
+_KEPT = re.compile(r"[\x1c-\x1f]")
 _GAP = re.compile(r"[\x20\t\n\r]+")
+#: Parts to encode are sent together, this special token between them.
+_FENCE = "<|startoftext|>"
 
 
 class Encoder:
@@ -53,14 +56,31 @@ class Encoder:
         self.kind = "<u2" if width == 2 else "<u4"
         self.end = np.array([end_id], self.kind).tobytes()
         self.cache: dict[str, bytes] = {}
+        self.fence = self.tokenizer.token_to_id(_FENCE)
+
+    def _encode_parts(self, parts: list[str]) -> None:
+        """Put the ids of parts into the cache."""
+        fenced = [p for p in parts if "<|" not in p] if self.fence is not None else []
+        alone = parts if self.fence is None else [p for p in parts if "<|" in p]
+        groups = [fenced[i : i + 256] for i in range(0, len(fenced), 256)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([_FENCE.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind)
+            at = np.flatnonzero(ids == self.fence)
+            if len(at) != len(group) - 1:
+                raise ValueError("a part holds the fence")
+            data, size = ids.tobytes(), ids.itemsize
+            for part, a, b in zip(group, [0, *((at + 1) * size).tolist()], [*(at * size).tolist(), len(data)]):
+                self.cache[part] = data[a:b]
+        for part, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.cache[part] = np.array(found.ids, self.kind).tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [_GAP.split(t) if t else () for t in texts]
-        new = list({p for x in parts for p in x if p not in self.cache})
+        parts = [() if not t else _GAP.split(t) if _KEPT.search(t) else t.split() for t in texts]
+        seen = set().union(*parts)
+        new = seen.difference(self.cache)
         if len(self.cache) + len(new) > CACHE:
-            self.cache, new = {}, list({p for x in parts for p in x})
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.cache[part] = np.array(found.ids, self.kind).tobytes()
+            self.cache, new = {}, seen
+        self._encode_parts(list(new))
         get = self.cache.__getitem__
         return [b"".join([*map(get, x), self.end]) for x in parts]
 
