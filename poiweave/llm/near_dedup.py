@@ -9,7 +9,8 @@
    rest is confirmed on full shingle sets. Components join what is confirmed.
 4. Buckets that still hold more than one component get further rounds with other centres, and at the
    end every member outside a bucket's largest component is compared with all members of other
-   components, so no link between different texts is lost.
+   components, so no link between different texts is lost. That last comparison uses finer sketches,
+   made for these members only, so that pairs a little below the threshold are not built.
 
 Only ids, digests and sketches of candidates move; full sets are recomputed from the texts of
 documents in a surviving pair. Rows with one doc_id are one document.
@@ -36,6 +37,8 @@ SAMPLES = 120
 #: Bits of an odd sketch (a multiple of 64) and the chance of a false drop allowed by a sketch or by the bands.
 SKETCH_BITS = 512
 MISS = 1e-6
+#: Samples and bits of the finer odd sketches that the last round makes for members of open buckets only.
+FINE_SAMPLES, FINE_BITS = 2_048, 4_096
 #: Ids up to this many are broadcast to the scan that recomputes full sets; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
 STAR_ROUNDS = 3
@@ -127,6 +130,26 @@ def _setter(width: int):
     return run
 
 
+def _fine_signer(width: int, samples: int, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times, plus = (A.constants(samples, 31) | np.uint64(1))[:, None], A.constants(samples, 37)[:, None]
+        place_seed = A.constants(samples, 41)
+        for batch in batches:
+            raw, offsets = A.strings(batch.column(1))
+            out = []
+            for i, j in A.chunks(offsets):
+                words, starts = A.word_hashes(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                for s in shingle_sets(words, starts, width):
+                    least = np.full(samples, np.iinfo(np.uint64).max, dtype=np.uint64)
+                    for k in range(0, len(s), 64):
+                        np.minimum(least, (s[None, k : k + 64] * times + plus).min(axis=1), out=least)
+                    place = A.mix(least ^ place_seed) % np.uint64(bits)
+                    out.append(np.packbits((np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["rep", "fine"])
+
+    return run
+
+
 class _Links:
     """Confirms candidate pairs of class representatives."""
 
@@ -139,6 +162,16 @@ class _Links:
         flips = " + ".join(f"bit_count({a}.sketch[{k}] ^ {b}.sketch[{k}])" for k in range(SKETCH_BITS // 64))
         return F.expr(f"100 * least({a}.n, {b}.n) >= {self.pct} * greatest({a}.n, {b}.n) and {flips} <= {self.limit}")
 
+    def fine(self, members: DataFrame) -> DataFrame:
+        """(rep, fine): the finer sketches of some classes."""
+        ids = materialise(members.select(F.col("rep").alias("id")).distinct(), "open")
+        wanted = self.texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+        return materialise(wanted.mapInArrow(_fine_signer(self.width, FINE_SAMPLES, FINE_BITS), "rep long, fine array<long>"), "fine").dropDuplicates(["rep"])
+
+    def near_fine(self, a: str, b: str):
+        flips = " + ".join(f"bit_count({a}.fine[{k}] ^ {b}.fine[{k}])" for k in range(FINE_BITS // 64))
+        return F.expr(f"{flips} <= {sketch_limit(self.pct, FINE_SAMPLES, FINE_BITS)}")
+
     def sift(self, pairs: DataFrame) -> DataFrame:
         """Candidates (a, b) that the sketches let pass."""
         info = self.classes.select("rep", F.struct("n", "sketch").alias("i"))
@@ -177,32 +210,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = materialise(texts.mapInArrow(_signer(width, bands, rows, SKETCH_BITS), "id long, n long, s1 long, s2 long, bands array<long>, sketch array<long>"), "signed")
     classes = materialise(signed.where("n > 0 and id is not null").groupBy("s1", "s2", "n", "bands", "sketch").agg(F.min("id").alias("rep")), "classes")
     spread = classes.select("rep", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("c"), F.min("rep").alias("centre")).where("c > 1")
-    multi = materialise(spread.join(shared, "bucket").select("bucket", "rep", "centre"), "buckets")
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+    met = materialise(spread.join(shared, "bucket"), "met")
+    # how often a class meets others: the original of many copies meets the most, and makes the best centre
+    fame = met.groupBy("rep").agg(F.sum("c").alias("fame"))
+    famed = met.join(fame, "rep")
+    centre = famed.groupBy("bucket").agg(F.max_by("rep", F.struct("fame", (-F.col("rep")).alias("o"))).alias("centre"))
+    multi = materialise(famed.join(centre, "bucket").select("bucket", "rep", "fame", "centre"), "buckets")
+    discard(met)
     links_of = _Links(texts, classes, width, threshold_pct)
-    tried = multi.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    tried = multi.where("rep <> centre").select(*pair("rep", "centre")).distinct()
     links = links_of.confirm(links_of.sift(tried))
     parts = materialise(connected_components(links), "parts")
     for k in range(1, STAR_ROUNDS + 1):
         members = _with_component(multi, parts)
         open_ = members.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
         members = members.join(open_, "bucket").drop("centre")
-        info = classes.select("rep", F.struct("n", "sketch").alias("i"))
+        sizes = members.groupBy("bucket", "part").agg(F.count("*").alias("c"))
+        main = sizes.groupBy("bucket").agg(F.max_by("part", F.struct("c", "part")).alias("main"))
         if k < STAR_ROUNDS:
-            # another centre, by a hash of the round; members of its own component need no comparison
-            turn = F.xxhash64(F.lit(k), "rep", "bucket")
-            hub = members.groupBy("bucket").agg(F.min_by(F.struct("rep", "part"), turn).alias("h"))
-            pairs = members.join(hub, "bucket").where("part <> h.part").select(F.least("rep", "h.rep").alias("a"), F.greatest("rep", "h.rep").alias("b"))
-            pairs = links_of.sift(pairs.distinct())
+            # other centres: the smallest id, then the most met outside the largest component; own components need no look
+            if k == 1:
+                hub = members.groupBy("bucket").agg(F.min(F.struct("rep", "part")).alias("h"))
+            else:
+                hub = members.join(main, "bucket").where("part <> main").groupBy("bucket").agg(F.max_by(F.struct("rep", "part"), F.struct("fame", "rep")).alias("h"))
+            pairs = members.join(hub, "bucket").where("part <> h.part").select(*pair("rep", "h.rep"))
+            pairs = links_of.sift(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
         else:
-            sizes = members.groupBy("bucket", "part").agg(F.count("*").alias("c"))
-            main = sizes.groupBy("bucket").agg(F.max_by("part", F.struct("c", "part")).alias("main"))
+            members = materialise(members, "members")
+            if members.isEmpty():
+                break
+            info = classes.join(links_of.fine(members), "rep").select("rep", F.struct("n", "sketch", "bands", "fine").alias("i"))
             held = members.join(info, "rep")
             rest = held.join(main, "bucket").where("part <> main").select("bucket", F.struct("rep", "part", "main", "i").alias("x"))
             full = held.select("bucket", F.struct("rep", "part", "i").alias("y"))
-            pairs = rest.join(full, "bucket").where("x.part <> y.part and (y.part = x.main or x.rep < y.rep)").where(links_of.near("x.i", "y.i"))
-            pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-        more = links_of.confirm(pairs.join(tried, ["a", "b"], "left_anti") if k == 1 else pairs)
+            # a pair counts in the first bucket that it shares
+            first = F.expr("get(x.i.bands, cast(array_position(zip_with(x.i.bands, y.i.bands, (p, q) -> p = q), true) as int) - 1) = bucket")
+            pairs = rest.join(full, "bucket").where("x.part <> y.part and (y.part = x.main or x.rep < y.rep)").where(links_of.near("x.i", "y.i") & links_of.near_fine("x.i", "y.i") & first)
+            pairs = pairs.select(*pair("x.rep", "y.rep")).distinct().join(tried, ["a", "b"], "left_anti")
+        more = links_of.confirm(pairs)
         if more.isEmpty():
             if k < STAR_ROUNDS:
                 continue
