@@ -8,7 +8,8 @@ Words repeat, so distinct words are folded, not tokens. One pass counts the word
 most frequent (at most DICTIONARY of them, a bound on memory, not on rows) are folded once and sent to
 the workers as a dictionary. The pass over the documents splits each text, replaces dictionary words
 by their ids, and hands the other distinct words of that document to the same fold. Every word of
-every text is encoded; the dictionary only decides where.
+every text is encoded; the dictionary only decides where. Words of over LONG_WORD characters are
+merged by a heap in the worker, with the same result.
 
 Results in odd cases: null and empty texts have no tokens, and the digests of empty input; repeated
 rows get equal results; an empty table gives no rows; extra columns are not read.
@@ -33,6 +34,9 @@ DICTIONARY = 700_000
 #: Slots of the literal rank map.
 SLOTS = 262_144
 _NONE = 2_147_483_647
+#: Words of more characters (blobs without a break) are merged by a heap in the worker: a fold over
+#: arrays takes time with the square of the length.
+LONG_WORD = 400
 
 
 @lru_cache(maxsize=2)
@@ -140,6 +144,39 @@ def fold_words(words: Column, path: str) -> Column:
     return _let(rank_map(path), with_table)
 
 
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of one long word: the leftmost pair of least rank merges first, by a heap over a linked list."""
+    import heapq
+
+    if word in ranks:
+        return [ranks[word]]
+    n = len(word)
+    end, before, after, alive = [i + 1 for i in range(n)], list(range(-1, n - 1)), list(range(1, n + 1)), [True] * n
+    heap: list[tuple[int, int, int, int]] = []
+
+    def push(i: int) -> None:
+        j = after[i]
+        if j < n:
+            rank = ranks.get(word[i : end[j]])
+            if rank is not None:
+                heapq.heappush(heap, (rank, i, end[i], end[j]))
+
+    for i in range(n):
+        push(i)
+    while heap:
+        _, i, middle, stop = heapq.heappop(heap)
+        j = after[i]
+        if not alive[i] or end[i] != middle or j >= n or end[j] != stop:
+            continue
+        alive[j], end[i], after[i] = False, stop, after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        push(i)
+        if before[i] >= 0:
+            push(before[i])
+    return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
+
+
 def decode(ids: Column, path: str) -> Column:
     """The bytes of ids given as text joined by one space: binary pieces, concatenated."""
     pieces = F.split(F.lit(_piece_text(path)), " ")
@@ -155,7 +192,7 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
 
 def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY) -> dict[str, str]:
     """Ids of the most frequent words: all words at least as frequent as a count that keeps within ``limit``."""
-    counts = materialise(word_counts(docs, pattern, text_col).where("n > 1"), "words")
+    counts = materialise(word_counts(docs, pattern, text_col).where(f"n > 1 and length(word) <= {LONG_WORD}"), "words")
     have, least = 0, None
     for n, words in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
         if have + words > limit:
@@ -171,12 +208,12 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """(doc_id, ids): the ids of every text, as text joined by one space."""
     spark = docs.sparkSession
     A.prepare(spark)
-    known = spark.sparkContext.broadcast(dictionary(docs, path, pattern, text_col))
+    known = spark.sparkContext.broadcast((dictionary(docs, path, pattern, text_col), load_ranks(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, get = regex.compile(pattern).findall, known.value.get
+        find, get, ranks = regex.compile(pattern).findall, known.value[0].get, known.value[1]
         for batch in batches:
             parts, cold, places = [], [], []
             for text in batch.column(1).to_pylist():
@@ -185,6 +222,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                     ids = get(word)
                     if ids is not None:
                         part[-1].append(ids)
+                    elif len(word) > LONG_WORD:
+                        part[-1].append(" ".join(map(str, merge_long(word.encode(), ranks))))
                     else:
                         place.append(words.setdefault(word, len(words)))
                         part.append([])
