@@ -222,10 +222,13 @@ def test_importance(spark, docs, nothing):
 
 def test_pipeline(spark):
     import corpus_pipeline
-
-    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    step = d
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        step = stage(spark, step, "/root/testdata/sf0.001")
-        assert step.columns == d.columns and dict(step.dtypes) == dict(d.dtypes), name
-    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() == step.count()
+    from poiweave.storage import materialise
+
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    step = d = materialise(d, "docs")
+    for name, stage in corpus_pipeline.STAGES:
+        before, step = step, materialise(stage(spark, step, "/root/testdata/sf0.001"), name)
+        if name != "byte_bpe":
+            assert step.columns == d.columns and dict(step.dtypes) == dict(d.dtypes), name
+        if name in ("secret_scan", "byte_bpe"):
+            assert step.count() == before.count()
