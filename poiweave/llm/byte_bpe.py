@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
 ``fold_words`` encodes a word in the JVM: its bytes (hex pairs) are the first pieces, and an
-``aggregate`` folds merges over them, each time the leftmost adjacent pair of least rank, looked up in
+``aggregate`` folds merges over the places between them, each time the leftmost adjacent pair of least rank, looked up in
 a literal rank map (a literal open-addressing table, since Spark searches a map linearly). ``decode`` looks every id up in a literal array of pieces and concatenates them.
 
 Words repeat, so distinct words are folded, not tokens. One pass counts the words of the corpus; the
@@ -103,43 +103,47 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_words(words: Column, path: str) -> Column:
-    """The ids of each of an array of non-empty words, as text joined by one space."""
+    """The ids of each of an array of non-empty words, as text joined by one space.
+
+    The state holds the places between pieces and, for each place inside, the rank of the pair around it.
+    """
     probes = _rank_table(path)[1]
 
     def with_table(table: Column) -> Column:
-        rank = lambda key: _rank(table, key, probes)
-        rank_or_none = lambda key: F.coalesce(rank(key), F.lit(_NONE))
-        empty = F.array().cast("array<int>")
+        none = F.array().cast("array<int>")
 
-        def step(state: Column, _: Column) -> Column:
-            p, r = state["p"], state["r"]
+        def merge(key: Column) -> Column:
+            n = (F.length(key) / 2).cast("int")
 
-            def merged(at: Column) -> Column:  # at: 1-based place of the pair to merge
-                def put(pair: Column) -> Column:
-                    left = F.when(at > 1, F.array(rank_or_none(F.concat(F.get(p, at - 2), pair)))).otherwise(empty)
-                    right = F.when(at < F.size(r), F.array(rank_or_none(F.concat(pair, F.get(p, at + 1))))).otherwise(empty)
-                    return F.struct(
-                        F.concat(F.slice(p, 1, at - 1), F.array(pair), F.slice(p, at + 2, F.size(p))).alias("p"),
-                        F.concat(F.slice(r, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(r, at + 2, F.size(r))).alias("r"),
-                    )
+            def rank(a: Column, b: Column) -> Column:
+                return _rank(table, F.substring(key, a * 2 + 1, (b - a) * 2), probes)
 
-                return _let(F.concat(F.get(p, at - 1), F.get(p, at)), put)
+            def step(state: Column, _: Column) -> Column:
+                cuts, ranks = state["cuts"], state["ranks"]
 
-            least = F.array_min(r)
-            return F.when(least < _NONE, _let(F.array_position(r, least).cast("int"), merged)).otherwise(state)
+                def merged(at: Column) -> Column:  # at: 1-based place in ranks, 0-based in cuts, of the pair to merge
+                    def put(near: Column) -> Column:  # two places to the left of it, two to the right
+                        left = F.when(at > 1, F.array(F.coalesce(rank(near[0], near[2]), F.lit(_NONE)))).otherwise(none)
+                        right = F.when(near[3].isNotNull(), F.array(F.coalesce(rank(near[1], near[3]), F.lit(_NONE)))).otherwise(none)
+                        return F.struct(
+                            F.array_remove(cuts, F.get(cuts, at)).alias("cuts"),
+                            F.flatten(F.array(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(ranks, at + 2, F.size(ranks)))).alias("ranks"),
+                        )
 
-        def merge(key: Column) -> Column:
-            n = (F.length(key) / 2).cast("int")
-            pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(key, i * 2 - 1, F.lit(2)))
+                    return _let(F.array(F.get(cuts, at - 2), F.get(cuts, at - 1), F.get(cuts, at + 1), F.get(cuts, at + 2)), put)
+
+                least = F.array_min(ranks)
+                return F.when(least < _NONE, _let(F.array_position(ranks, least).cast("int"), merged)).otherwise(state)
 
-            def run(p: Column) -> Column:
-                r = F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank_or_none(F.concat(F.get(p, i - 1), F.get(p, i))))
-                start = F.struct(p.alias("p"), r.alias("r"))
-                return F.aggregate(F.sequence(F.lit(1), n - 1), start, step, lambda s: F.array_join(F.transform(s["p"], lambda x: rank(x).cast("string")), " "))
+            def ids(state: Column) -> Column:  # the last place has no piece after it; array_join skips its null
+                cuts = state["cuts"]
+                return F.array_join(F.transform(cuts, lambda a, k: _let(F.get(cuts, k + 1), lambda b: F.when(b.isNotNull(), rank(a, b).cast("string")))), " ")
 
-            return _let(pieces, run)
+            pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.coalesce(rank(i - 1, i + 1), F.lit(_NONE)))
+            start = F.struct(F.sequence(F.lit(0), n).alias("cuts"), pairs.alias("ranks"))
+            return F.aggregate(F.sequence(F.lit(1), n - 1), start, step, ids)
 
-        return F.transform(words, lambda w: _let(F.hex(w), lambda key: F.coalesce(rank(key).cast("string"), F.when(F.length(key) > 2, merge(key)))))
+        return F.transform(words, lambda w: _let(F.hex(w), lambda key: F.coalesce(_rank(table, key, probes).cast("string"), F.when(F.length(key) > 2, merge(key)))))
 
     return _let(rank_map(path), with_table)
 
