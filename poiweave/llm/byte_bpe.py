@@ -184,8 +184,8 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def decode(ids: Column, path: str) -> Column:
     """The bytes of ids given as text joined by one space: binary pieces, concatenated."""
     pieces = F.split(F.lit(_piece_text(path)), " ")
-    hexed = F.array_join(F.transform(F.filter(F.split(ids, " "), lambda x: x != ""), lambda x: F.get(pieces, x.cast("int"))), "")
-    return F.unhex(hexed)
+    hexed = F.array_join(F.transform(F.split(ids, " "), lambda x: F.get(pieces, x.cast("int"))), "")
+    return F.unhex(F.when(ids == "", F.lit("")).otherwise(hexed))
 
 
 def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
@@ -221,18 +221,18 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         for batch in batches:
             parts, cold, places = [], [], []
             for text in batch.column(1).to_pylist():
-                part, words, place, at = [[]], {}, [], []
-                for word in find(text or ""):
-                    ids = get(word)
-                    if ids is not None:
-                        part[-1].append(ids)
-                    elif len(word) > LONG_WORD:
-                        part[-1].append(" ".join(map(str, merge_long(word.encode(), ranks))))
-                    else:
-                        place.append(words.setdefault(word, len(words)))
-                        part.append([])
-                parts.append([" ".join(x) for x in part])
-                cold.append(list(words)), places.append(place)
+                found = find(text or "")
+                ids = list(map(get, found))
+                part, words, place, at, k = [], {}, [], 0, -1
+                for _ in range(ids.count(None)):
+                    k = ids.index(None, k + 1)
+                    if len(found[k]) > LONG_WORD:
+                        ids[k] = " ".join(map(str, merge_long(found[k].encode(), ranks)))
+                    else:  # the ids so far, then a word to fold
+                        part.append(" ".join(ids[at:k])), place.append(words.setdefault(found[k], len(words)))
+                        at = k + 1
+                part.append(" ".join(ids[at:]))
+                parts.append(part), cold.append(list(words)), places.append(place)
             text_list = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, text_list), pa.array(cold, text_list), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "parts", "cold", "places"])
 
