@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.ipc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -194,17 +195,29 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
     return docs.select(F.explode(words).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
-def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY) -> dict[str, str]:
-    """Ids of the most frequent words: all words at least as frequent as a count that keeps within ``limit``."""
+def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY) -> bytes:
+    """Ids of the most frequent words, as an Arrow stream: all words at least as frequent as a count that keeps within ``limit``.
+
+    The driver only passes the stream on; workers make a Python dictionary of it.
+    """
     counts = materialise(word_counts(docs, pattern, text_col).where(f"n > 1 and length(word) <= {LONG_WORD}"), "words")
     have, least = 0, None
     for n, words in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
         if have + words > limit:
             break
         have, least = have + words, n
-    if least is None:
-        return {}
-    table = counts.where(F.col("n") >= least).select("word", fold_words(F.array("word"), path)[0].alias("ids")).toArrow()
+    wanted = counts.where(F.col("n") >= least) if least is not None else counts.limit(0)
+    table = wanted.select("word", fold_words(F.array("word"), path)[0].alias("ids")).toArrow()
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as stream:
+        stream.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+@lru_cache(maxsize=1)
+def _unpacked(data: bytes) -> dict[str, str]:
+    """The dictionary of an Arrow stream, once per worker process."""
+    table = pa.ipc.open_stream(data).read_all()
     return dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
 
 
@@ -217,7 +230,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, get, ranks = regex.compile(pattern).findall, known.value[0].get, known.value[1]
+        find, get, ranks = regex.compile(pattern).findall, _unpacked(known.value[0]).get, known.value[1]
         for batch in batches:
             parts, cold, places = [], [], []
             for text in batch.column(1).to_pylist():
