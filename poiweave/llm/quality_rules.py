@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poiweave.storage import materialise
+
 #: Each rule: name, then the conditions to vote good and to vote bad over the measures; else it abstains.
 RULES: list[tuple[str, str, str]] = [
     ("length", "n_words between 60 and 100000", "n_words < 20"),
@@ -125,25 +127,27 @@ def posterior(votes_col: str, model: dict) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def judge(docs: DataFrame, text_col: str = "text", cut: float = 0.5) -> DataFrame:
-    """Add the measures, ``base_failed``, ``votes``, ``quality`` (posterior) and ``kept`` under ``p__judged``.
+def judge(measured: DataFrame, cut: float = 0.5) -> DataFrame:
+    """Add ``base_failed``, ``votes``, ``quality`` (posterior) and ``kept`` under ``p__judged`` to measured rows.
 
     base_failed: fewer than 50 words, or over half of the words in windows found twice or more.
-    kept: not base_failed and posterior >= ``cut``. One pass counts vote patterns, a second judges.
+    kept: not base_failed and posterior >= ``cut``. The measures are taken once and written; the vote
+    patterns and the verdicts come from that table.
     """
-    measured = with_measures(docs, text_col).withColumn("p__votes", votes())
-    counts = measured.groupBy("p__votes").count().collect()  # one row per pattern: bounded by the rules, not the rows
+    voted = materialise(measured, "measured").withColumn("p__votes", votes())
+    counts = voted.groupBy("p__votes").count().collect()  # one row per pattern: bounded by the rules, not the rows
     model = fit_label_model(sorted((r[0], r[1]) for r in counts))
     failed = F.expr("p__measures.n_words < 50 or 100 * p__measures.n_repeat_words > 50 * p__measures.n_words")
     quality = posterior("p__votes", model)
-    return measured.withColumn(
+    return voted.withColumn(
         "p__judged", F.struct(failed.alias("base_failed"), F.col("p__votes").alias("votes"), quality.alias("quality"), (~failed & (quality >= cut)).alias("kept"))
     ).drop("p__votes")
 
 
 def op9_query(spark, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).select(
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return judge(with_measures(docs).drop("text")).select(
         "doc_id", "p__measures.n_words", "p__measures.word_chars", "p__measures.n_symbols", "p__measures.n_dup_lines",
         "p__measures.n_repeat_words", "p__judged.base_failed", "p__judged.kept", "p__judged.votes",
     )
@@ -151,6 +155,4 @@ def op9_query(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: rejected documents go."""
-    # a column of the filter that differs by row keeps the optimizer from copying the measures into the predicate, many times over
-    fenced = judge(docs).withColumn("p__fence", F.monotonically_increasing_id())
-    return fenced.where("p__judged.kept and p__fence >= 0").select(*docs.columns)
+    return judge(with_measures(docs)).where("p__judged.kept").select(*docs.columns)

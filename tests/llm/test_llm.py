@@ -47,14 +47,14 @@ def low(t):
 
 def test_quality_rules(docs, nothing):
     cols = ["doc_id", "p__measures.*", "p__judged.base_failed", "p__judged.kept"]
-    got = rows_of(quality_rules.judge(docs).select(*cols))
+    got = rows_of(quality_rules.judge(quality_rules.with_measures(docs)).select(*cols))
     for i, t in enumerate(texts()):
         w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
         grams = collections.Counter(zip(w, w[1:], w[2:]))
         cover = {k + d for k, g in enumerate(zip(w, w[1:], w[2:])) if grams[g] > 1 for d in range(3)}
         assert (got[i].n_words, got[i].word_chars, got[i].n_repeat_words) == (len(w), sum(map(len, w)), len(cover))
         assert got[i].base_failed == (len(w) < 50 or 100 * len(cover) > 50 * len(w)) and not (got[i].base_failed and got[i].kept)
-    assert quality_rules.judge(nothing).count() == 0
+    assert quality_rules.judge(quality_rules.with_measures(nothing)).count() == 0
     assert quality_rules.stage(docs.sparkSession, docs, "").columns == docs.columns
 
 
