@@ -188,6 +188,23 @@ def test_secrets(docs, nothing):
     assert secrets_crf.scan(nothing).count() == 0
 
 
+def test_secrets_of_every_token():
+    w = secrets_crf.model()
+    found = lambda t: [t[a:b] for a, b, k in secrets_crf.find_secrets(t, w) if k == "crf"]
+    cases = {  # short, letters only, several words; no base pattern covers them
+        "please log in with pwd: Tr0ub4dor and go": ["Tr0ub4dor"], "Authorization: Bearer aB3dE5gH9 now": ["aB3dE5gH9"], "the api key: QmzXkLpWvTrYbN": ["QmzXkLpWvTrYbN"], "pwd: swordfish": ["swordfish"],
+        "passphrase: correct horse battery staple\nnext line here": ["correct horse battery staple"], 'passphrase: "correct horse battery staple" and more': ["correct horse battery staple"],
+        "key: important to know": [], "the key is in the door of the monkey": [], "call 555-1234 on page 12": [],
+    }
+    for text, want in cases.items():
+        assert found(text) == want and (not want or want[0] not in secrets_crf.redact(text, w)), text
+    long = " ".join([*texts()[:6], *cases, *texts()[:3], *cases])  # array decoding gives what one long chain gives
+    pieces, file = secrets_crf._TOKEN.split(long), secrets_crf.file_features(long)
+    tags = secrets_crf.viterbi(secrets_crf.features(pieces, file), w)
+    assert len(tags) == len(re.findall(r"[A-Za-z0-9+/_.=-]+", long)) and {"B", "I"} <= set(tags)
+    assert secrets_crf._field(w).decode(pieces, file) == [(i, t) for i, t in enumerate(tags) if t != "O"]
+
+
 def test_url_filter(spark):
     urls = ["http://www.example.com/en/x?q", "https://EXAMPLE.com/en/", "http://a.net/fr/1#f", "http://net/es/", "http://b.com", "http://b.com/", None, "nothing", "http://example.com/en", "http://xexample.com/en/"]
     df = spark.createDataFrame([(i, u, "h") for i, u in enumerate([*urls, urls[0]])], "page_id long, url string, host string")
