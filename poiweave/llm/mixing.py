@@ -25,17 +25,22 @@ def _uniform(seed: int, *columns: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11).cast("double") / F.lit(float(1 << 53))
 
 
-#: Cumulative Poisson probabilities up to where the tail is below 2**-53; folded over k from the rate.
-_CDF = """
-transform(aggregate(sequence(1, cast(ceil(rate + 12 * sqrt(rate) + 30) as int)),
-    named_struct('p', exp(-rate), 'cdf', array(exp(-rate))),
-    (s, k) -> named_struct('p', s.p * rate / k, 'cdf', concat(s.cdf, array(element_at(s.cdf, -1) + s.p * rate / k))),
-    s -> s.cdf), x -> x)
+#: Cumulative Poisson probabilities of the counts from ``low`` up to where the tail is below 2**-53. The weights
+#: are folded from the mode, where they are 1, down and up, and divided by their sum: exp(-rate) is 0 in doubles
+#: for rates over 745. ``low`` is 0 for small rates; below it there is less than 2**-53.
+_SPREAD = "12 * sqrt(rate) + 30"
+_LOW = f"cast(greatest(0, floor(rate) - ceil({_SPREAD})) as int)"
+_MODE = "cast(floor(rate) as int)"
+_WEIGHTS = f"""
+concat(
+    reverse(aggregate(if({_MODE} > low, sequence({_MODE}, low + 1, -1), array()), array(1D), (s, k) -> concat(s, array(element_at(s, -1) * k / rate)))),
+    aggregate(sequence({_MODE} + 2, cast(ceil(rate + {_SPREAD}) as int)), array(rate / ({_MODE} + 1)), (s, k) -> concat(s, array(element_at(s, -1) * rate / k))))
 """
+_SUMS = "aggregate(sequence(2, size(p__weights)), array(p__weights[0]), (s, k) -> concat(s, array(element_at(s, -1) + element_at(p__weights, k))))"
 
 
 def source_rates(docs: DataFrame, targets: dict | None = None, power: float = 0.5, source_col: str = "source") -> DataFrame:
-    """Per source: ``rows``, ``rate`` (mean repetitions) and ``cdf``. Without targets, a weight is rows ** power."""
+    """Per source: ``rows``, ``rate`` (mean repetitions), ``low`` (least count) and ``cdf`` from there. Without targets, a weight is rows ** power."""
     counts = docs.groupBy(F.col(source_col).alias("p__source")).agg(F.count("*").alias("rows"))
     if targets is None:
         weighted = counts.withColumn("weight", F.pow(F.col("rows").cast("double"), F.lit(power)))
@@ -45,20 +50,21 @@ def source_rates(docs: DataFrame, targets: dict | None = None, power: float = 0.
     total = weighted.agg(F.sum("rows"), F.sum("weight")).first()
     rows, weights = total[0] or 0, total[1] or 1.0
     rated = weighted.withColumn("rate", F.col("weight") / F.lit(weights) * F.lit(float(rows)) / F.col("rows"))
-    return rated.withColumn("cdf", F.expr(_CDF))
+    folded = rated.withColumn("low", F.expr(_LOW)).withColumn("p__weights", F.expr(_WEIGHTS)).withColumn("p__sums", F.expr(_SUMS))
+    return folded.withColumn("cdf", F.expr("transform(p__sums, x -> x / element_at(p__sums, -1))")).drop("p__weights", "p__sums")
 
 
 def poisson_mix(docs: DataFrame, targets: dict | None = None, power: float = 0.5, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """Copies of the rows of ``docs`` with ``p__copy`` (0, 1, ...), ``p__rate`` and ``p__key``, globally shuffled."""
     rates = source_rates(docs, targets, power, source_col)
     few = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    rates = rates.select("p__source", F.col("rate").alias("p__rate"), F.col("cdf").alias("p__cdf"))
+    rates = rates.select("p__source", F.col("rate").alias("p__rate"), F.col("low").alias("p__low"), F.col("cdf").alias("p__cdf"))
     drawn = docs.join(F.broadcast(rates) if few else rates, F.col(source_col).eqNullSafe(F.col("p__source")))
     drawn = drawn.withColumn("p__u", _uniform(seed, id_col))
-    drawn = drawn.withColumn("p__n", F.expr("size(filter(p__cdf, x -> x <= p__u))")).where("p__n > 0")
+    drawn = drawn.withColumn("p__n", F.expr("p__low + size(filter(p__cdf, x -> x <= p__u))")).where("p__n > 0")
     copies = drawn.withColumn("p__copy", F.explode(F.expr("sequence(0, p__n - 1)")))
     copies = copies.withColumn("p__key", F.xxhash64(F.lit(seed + 1), id_col, "p__copy"))
-    return copies.drop("p__source", "p__cdf", "p__u", "p__n").repartition("p__key").sortWithinPartitions("p__key")
+    return copies.drop("p__source", "p__low", "p__cdf", "p__u", "p__n").repartition("p__key").sortWithinPartitions("p__key")
 
 
 def op8_query(spark, sf_dir: str) -> DataFrame:

@@ -224,6 +224,21 @@ def test_mixing(spark, docs, nothing):
     assert mixing.poisson_mix(nothing).count() == 0 and mixing.stage(spark, docs, "").columns == docs.columns
 
 
+def test_mixing_large_rates(spark):
+    # 20 documents of a rare source take all copies: a rate of 1,001
+    d = spark.range(20_020).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 20, "rare").otherwise("rest").alias("source"))
+    draw = lambda seed: [r["n"] for r in mixing.poisson_mix(d, {"rare": 1.0}, seed=seed).groupBy("doc_id").agg(F.count("*").alias("n")).collect()]
+    rate, a, b = 20_020 / 20, draw(1), draw(2)
+    assert len(a) == 20 and a != b and len(set(a)) > 5
+    assert abs(sum(a + b) / 40 - rate) < 5 * math.sqrt(rate / 40) and 0.4 * rate < np.var(a + b) < 2.2 * rate
+    # the cumulative probabilities themselves, below and above the rate where exp(-rate) is 0
+    rows = spark.createDataFrame([("s", i) for i in range(4)] + [("t", i) for i in range(8004)], "source string, doc_id long")
+    for targets in ({"s": 1.0}, {"t": 1.0}, {"s": 1.0, "t": 1.0}, {"s": 1.0, "t": 99.0}, {"s": 0.0, "t": 1.0}):
+        for r in mixing.source_rates(rows, targets).collect():
+            p = [math.exp(k * math.log(r.rate) - r.rate - math.lgamma(k + 1)) if r.rate else float(k == 0) for k in range(r.low + len(r.cdf))]
+            assert sum(p[: r.low]) < 2**-53 and r.cdf == pytest.approx(np.cumsum(p)[r.low :], abs=1e-9) and r.cdf[-1] == 1
+
+
 def test_importance(spark, docs, nothing):
     rows = [(i, ("good words here " if i % 2 else "spam junk bad ") * 20) for i in range(400)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
