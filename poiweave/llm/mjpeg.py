@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from poiweave.llm import arrays as A
 
 UNIT = 64
-#: Most blocks of a frame; frames are one block wide.
-FRAME_BLOCKS = 64
+#: Most blocks of a frame; frames are one block wide. With so few, ordinary texts give a sequence of frames.
+FRAME_BLOCKS = 4
 FPS = 25
 BINS, WINDOW, FLOOR = 32, 12, 0.08
+#: What a difference within a text is before any was seen: as measured on 3,000 sf0.1 documents (29,322 differences).
+PRIOR_MEAN, PRIOR_DEVIATION = 0.17, 0.04
 #: The JPEG zigzag order: place k of a scan is at this row-major place of a block.
 ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, i // 8 if (i // 8 + i % 8) % 2 else i % 8)))
 
@@ -215,7 +217,7 @@ def write_avi(payload: bytes) -> bytes:
     per = -(-len(units) // -(-len(units) // FRAME_BLOCKS))  # frames of equal size with the least padding
     width, height = 8, 8 * per
     if len(units) % per:
-        units = np.concatenate([units, np.zeros((-len(units) % per, UNIT), np.uint8)])
+        units = np.concatenate([units, np.repeat(units[-1:], -len(units) % per, axis=0)])  # not zeros, which would look like a cut
     frames = encode_frames(units, per, width, height)
     movi, index, at = [b"movi"], [], 4
     for f in frames:
@@ -277,16 +279,22 @@ def read_payload(coefficients: np.ndarray, length: int | None) -> bytes:
 
 
 def shots(samples: np.ndarray) -> list[tuple[int, int]]:
-    """(first, last) frame of every shot: a cut where the histogram difference exceeds the running threshold."""
+    """(first, last) frame of every shot: a cut where the histogram difference exceeds the running threshold.
+
+    With fewer than three differences before it, the prior stands for each one that is missing.
+    """
     n = len(samples)
     shifted = (samples.reshape(n, -1) >> 3).astype(np.int64) + np.arange(n)[:, None] * BINS
     hist = np.bincount(shifted.ravel(), minlength=n * BINS).reshape(n, BINS) / (samples.size / n)
     diff = np.abs(np.diff(hist, axis=0)).sum(axis=1) / 2
-    cuts = [0]
-    for t in range(1, n):
-        past = diff[max(0, t - 1 - WINDOW) : t - 1]
-        if diff[t - 1] > FLOOR and len(past) >= 3 and diff[t - 1] > past.mean() + 3 * past.std():
-            cuts.append(t)
+    place = np.arange(n - 1)[:, None] - np.arange(1, WINDOW + 1)
+    there = place >= 0
+    past = np.where(there, diff[np.maximum(place, 0)], 0.0)
+    lack = np.maximum(0, 3 - there.sum(axis=1))
+    count = there.sum(axis=1) + lack
+    mean = (past.sum(axis=1) + lack * PRIOR_MEAN) / count
+    spread = (np.where(there, past - mean[:, None], 0.0) ** 2).sum(axis=1) + lack * ((PRIOR_MEAN - mean) ** 2 + PRIOR_DEVIATION**2)
+    cuts = [0, *(np.flatnonzero((diff > FLOOR) & (diff > mean + 3 * np.sqrt(spread / count))) + 1).tolist()]
     return [(a, b - 1) for a, b in zip(cuts, [*cuts[1:], n])]
 
 

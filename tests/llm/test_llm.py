@@ -107,6 +107,34 @@ def test_mjpeg(docs, nothing):
         mjpeg.read_avi(b"RIFFxxxxWAVE")
 
 
+def test_mjpeg_shots():
+    def slow(samples):
+        hist = [np.bincount(x.ravel() >> 3, minlength=32) / x.size for x in samples]
+        diff, cuts = [float(np.abs(b - a).sum() / 2) for a, b in zip(hist, hist[1:])], [0]
+        for t, d in enumerate(diff):
+            past = diff[max(0, t - mjpeg.WINDOW) : t]
+            lack = max(0, 3 - len(past))
+            mean = (sum(past) + lack * mjpeg.PRIOR_MEAN) / (len(past) + lack)
+            spread = sum((x - mean) ** 2 for x in past) + lack * ((mjpeg.PRIOR_MEAN - mean) ** 2 + mjpeg.PRIOR_DEVIATION**2)
+            if d > mjpeg.FLOOR and d > mean + 3 * (spread / (len(past) + lack)) ** 0.5:
+                cuts.append(t + 1)
+        return [(a, b - 1) for a, b in zip(cuts, [*cuts[1:], len(samples)])]
+
+    dark, light = np.zeros((1, 4, 64), np.uint8), np.full((1, 4, 64), 200, np.uint8)
+    for at in (1, 2, 3, 4, 9):  # a cut at any frame
+        assert mjpeg.shots(np.concatenate([dark] * at + [light] * 6)) == [(0, at - 1), (at, at + 5)]
+    assert mjpeg.shots(dark) == [(0, 0)] and mjpeg.shots(np.concatenate([dark, dark])) == [(0, 1)]
+    rng = np.random.default_rng(0)
+    for n in (2, 3, 5, 40):
+        noise = rng.integers(0, 1 + rng.integers(60, 256), (n, 4, 64)).astype(np.uint8)
+        noise[n // 2 :] //= 3
+        assert mjpeg.shots(noise) == slow(noise)
+    prose = ("plain words of a text that goes on " * 40).encode()[:1024]
+    clips = mjpeg.describe(mjpeg.write_avi(prose + bytes(rng.integers(0, 256, 1024).astype(np.uint8))))["clips"]
+    assert len(mjpeg.read_avi(mjpeg.write_avi(prose))["frames"]) == 4 and any(c[0] == 4 for c in clips)  # an ordinary text of 2 KB
+    assert len(mjpeg.describe(mjpeg.write_avi(b"ab" * 160))["clips"]) == 1  # padding is not a cut
+
+
 def test_elias_fano():
     rng = np.random.default_rng(0)
     for n, universe in ((1, 5), (1000, 3000), (5000, 1 << 40)):
