@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 
+from poiweave.session import ship_package
+
 _ODD = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -99,18 +97,24 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tup
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), rows
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes in a string column; a longer row is a part of its own."""
+    offsets = strings(batch.column(column))[1]
+    for i, j in chunks(offsets, size):
+        yield batch.slice(i, j - i)
+
+
+#: Rows and bytes of an Arrow batch, at most.
+BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
+
+
 def prepare(spark) -> None:
-    """Ready a session for Python workers: bounded Arrow batches, and this package on every executor."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > 512 or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, "512")  # texts may be long
-    package = Path(__file__).resolve().parents[1]
-    context = spark.sparkContext
-    if str(package.parent) in os.environ.get("PYTHONPATH", "").split(":") or getattr(context, "_poiweave_shipped", False):
-        return
-    path = Path(tempfile.mkdtemp()) / "poiweave.zip"
-    with zipfile.ZipFile(path, "w") as out:
-        for f in sorted(package.rglob("*.py")):
-            out.write(f, f.relative_to(package.parent))
-    context.addPyFile(str(path))
-    context._poiweave_shipped = True
+    """Ready a session for Python workers: this package on every executor, and bounded Arrow batches.
+
+    Spark reads the bounds when a plan runs, so they stay lowered in the session; lower ones are left alone.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = str(spark.conf.get(key)).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+    ship_package(spark)

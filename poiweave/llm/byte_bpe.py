@@ -2,10 +2,10 @@
 
 ``fold_words`` encodes a word in the JVM: its bytes (hex pairs) are the first pieces, and an
 ``aggregate`` folds merges over the places between them, each time the leftmost adjacent pair of least rank, looked up in
-a literal rank map (a literal open-addressing table, since Spark searches a map linearly). ``decode`` looks every id up in a literal array of pieces and concatenates them.
+a literal rank map (a literal open-addressing table, since Spark searches a map linearly). ``decode`` looks every id up in a literal array of binary pieces and concatenates them.
 
 Words repeat, so distinct words are folded, not tokens. One pass counts the words of the corpus; the
-most frequent (at most DICTIONARY of them, a bound on memory, not on rows) are folded once and sent to
+most frequent (at most DICTIONARY of them and DICTIONARY_BYTES, bounds on memory, not on rows) are folded once and sent to
 the workers as a dictionary. The pass over the documents splits each text, replaces dictionary words
 by their ids, and hands the other distinct words of that document to the same fold. Every word of
 every text is encoded; the dictionary only decides where. Words of over LONG_WORD characters are
@@ -22,16 +22,17 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.ipc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as A
-from poiweave.storage import materialise
+from poiweave.storage import discard, materialise
 
-#: Distinct words sent to the workers, at most: about 200 bytes each in a Python dictionary.
-DICTIONARY = 700_000
+#: Distinct words sent to the workers, at most (about 200 bytes each in a Python dictionary), and bytes of their text.
+DICTIONARY, DICTIONARY_BYTES = 700_000, 32 << 20
 #: Slots of the literal rank map.
 SLOTS = 262_144
 _NONE = 2_147_483_647
@@ -91,11 +92,17 @@ def _rank(table: Column, key: Column, probes: int) -> Column:
 
 @lru_cache(maxsize=2)
 def _piece_text(path: str) -> str:
+    """The bytes of every id as a JSON list of base64 texts."""
     ranks = load_ranks(path)
     pieces = [""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
-        pieces[rank] = token.hex().upper()
-    return " ".join(pieces)
+        pieces[rank] = base64.b64encode(token).decode()
+    return json.dumps(pieces, separators=(",", ":"))
+
+
+def piece_array(path: str) -> Column:
+    """The literal pieces, folded to a constant once. Their bytes are kept as strings, not all valid by themselves, so that they can be joined."""
+    return F.from_json(F.lit(_piece_text(path)), "array<binary>").cast("array<string>")
 
 
 def _let(value: Column, body) -> Column:
@@ -104,7 +111,7 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_words(words: Column, path: str) -> Column:
-    """The ids of each of an array of non-empty words, as text joined by one space.
+    """The ids of each of an array of non-empty words.
 
     The state holds the places between pieces and, for each place inside, the rank of the pair around it.
     """
@@ -136,15 +143,18 @@ def fold_words(words: Column, path: str) -> Column:
                 least = F.array_min(ranks)
                 return F.when(least < _NONE, _let(F.array_position(ranks, least).cast("int"), merged)).otherwise(state)
 
-            def ids(state: Column) -> Column:  # the last place has no piece after it; array_join skips its null
+            def ids(state: Column) -> Column:
                 cuts = state["cuts"]
-                return F.array_join(F.transform(cuts, lambda a, k: _let(F.get(cuts, k + 1), lambda b: F.when(b.isNotNull(), rank(a, b).cast("string")))), " ")
+                return F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), lambda k: rank(F.get(cuts, k), F.get(cuts, k + 1)))
 
             pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.coalesce(rank(i - 1, i + 1), F.lit(_NONE)))
             start = F.struct(F.sequence(F.lit(0), n).alias("cuts"), pairs.alias("ranks"))
             return F.aggregate(F.sequence(F.lit(1), n - 1), start, step, ids)
 
-        return F.transform(words, lambda w: _let(F.hex(w), lambda key: F.coalesce(_rank(table, key, probes).cast("string"), F.when(F.length(key) > 2, merge(key)))))
+        def word(key: Column) -> Column:
+            return _let(_rank(table, key, probes), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merge(key)))
+
+        return F.transform(words, lambda w: _let(F.hex(w), word))
 
     return _let(rank_map(path), with_table)
 
@@ -183,31 +193,31 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def decode(ids: Column, path: str) -> Column:
-    """The bytes of ids given as text joined by one space: binary pieces, concatenated."""
-    pieces = F.split(F.lit(_piece_text(path)), " ")
-    hexed = F.array_join(F.transform(F.split(ids, " "), lambda x: F.get(pieces, x.cast("int"))), "")
-    return F.unhex(F.when(ids == "", F.lit("")).otherwise(hexed))
+    """The bytes of an array of ids: binary pieces, concatenated."""
+    return _let(piece_array(path), lambda pieces: F.array_join(F.transform(ids, lambda x: F.get(pieces, x)), "")).cast("binary")
 
 
 def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
-    """(word, n) of every distinct match of the pattern in the corpus."""
-    words = F.regexp_extract_all(F.col(text_col), F.lit("(?U)" + pattern), F.lit(0))
+    """(word, n) of every distinct match of the pattern in the corpus. Java's idea of white space may split a few texts in another way than
+    the workers do; their words then are no dictionary words, with the same ids."""
+    words = F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))
     return docs.select(F.explode(words).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
-def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY) -> bytes:
-    """Ids of the most frequent words, as an Arrow stream: all words at least as frequent as a count that keeps within ``limit``.
-
-    The driver only passes the stream on; workers make a Python dictionary of it.
+def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY, limit_bytes: int = DICTIONARY_BYTES) -> bytes:
+    """Ids of the most frequent words, as an Arrow stream: all words whose count is in a class (an eighth of a power of two) as high as keeps
+    within ``limit`` and ``limit_bytes``. The driver only passes the stream on; workers make a Python dictionary of it.
     """
-    counts = materialise(word_counts(docs, pattern, text_col).where(f"n > 1 and length(word) <= {LONG_WORD}"), "words")
-    have, least = 0, None
-    for n, words in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
-        if have + words > limit:
+    counts = materialise(word_counts(docs, pattern, text_col).where(f"n > 1 and length(word) <= {LONG_WORD}").withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "words")
+    words, size, least = 0, 0, None
+    for row in counts.groupBy("class").agg(F.count("*"), F.sum(F.octet_length("word"))).orderBy(F.desc("class")).collect():  # 512 rows at most
+        words, size = words + row[1], size + row[2]
+        if words > limit or size > limit_bytes:
             break
-        have, least = have + words, n
-    wanted = counts.where(F.col("n") >= least) if least is not None else counts.limit(0)
+        least = row[0]
+    wanted = counts.where(F.col("class") >= least) if least is not None else counts.limit(0)
     table = wanted.select("word", fold_words(F.array("word"), path)[0].alias("ids")).toArrow()
+    discard(counts)
     out = pa.BufferOutputStream()
     with pa.ipc.new_stream(out, table.schema) as stream:
         stream.write_table(table)
@@ -215,14 +225,26 @@ def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
 
 
 @lru_cache(maxsize=1)
-def _unpacked(data: bytes) -> dict[str, str]:
-    """The dictionary of an Arrow stream, once per worker process."""
-    table = pa.ipc.open_stream(data).read_all()
-    return dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist()))
+def _unpacked(data: bytes) -> dict[str, bytes]:
+    """The dictionary of an Arrow stream, once per worker process: ids as 32-bit numbers end to end."""
+    out: dict[str, bytes] = {}
+    for batch in pa.ipc.open_stream(data):
+        ids = batch.column(1)
+        cuts = (ids.offsets.to_numpy() * 4).tolist()
+        flat = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), np.int32).tobytes()
+        out.update(zip(batch.column(0).to_pylist(), [flat[a:b] for a, b in zip(cuts, cuts[1:])]))
+    return out
+
+
+def _lists(blob: bytes, ends: list[int], rows: list[int]) -> pa.Array:
+    """Lists of lists of 32-bit numbers: bytes of all, where each inner list ends in them, and how many inner lists each row has."""
+    flat = pa.Array.from_buffers(pa.int32(), len(blob) // 4, [None, pa.py_buffer(blob)])
+    inner = pa.ListArray.from_arrays(pa.array(np.array([0, *ends], np.int64) // 4, pa.int32()), flat)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *rows]), pa.int32()), inner)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the ids of every text, as text joined by one space."""
+    """(doc_id, ids): the ids of every text, as an array."""
     spark = docs.sparkSession
     A.prepare(spark)
     known = spark.sparkContext.broadcast((dictionary(docs, path, pattern, text_col), load_ranks(path)))
@@ -231,39 +253,42 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         import regex
 
         find, get, ranks = regex.compile(pattern).findall, _unpacked(known.value[0]).get, known.value[1]
-        for batch in batches:
-            parts, cold, places = [], [], []
-            for text in batch.column(1).to_pylist():
-                found = find(text or "")
-                ids = list(map(get, found))
-                part, words, place, at, k = [], {}, [], 0, -1
-                for _ in range(ids.count(None)):
-                    k = ids.index(None, k + 1)
-                    if len(found[k]) > LONG_WORD:
-                        ids[k] = " ".join(map(str, merge_long(found[k].encode(), ranks)))
-                    else:  # the ids so far, then a word to fold
-                        part.append(" ".join(ids[at:k])), place.append(words.setdefault(found[k], len(words)))
-                        at = k + 1
-                part.append(" ".join(ids[at:]))
-                parts.append(part), cold.append(list(words)), places.append(place)
-            text_list = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, text_list), pa.array(cold, text_list), pa.array(places, pa.list_(pa.int32()))], ["doc_id", "parts", "cold", "places"])
+        for whole in batches:
+            for batch in A.slices(whole, 1):
+                parts, ends, rows, cold, places, size = [], [], [], [], [], 0
+                for text in batch.column(1).to_pylist():
+                    found = find(text or "")
+                    ids = list(map(get, found))
+                    words, place, at, k = {}, [], 0, -1
+                    for _ in range(ids.count(None)):
+                        k = ids.index(None, k + 1)
+                        if len(found[k]) > LONG_WORD:
+                            ids[k] = np.array(merge_long(found[k].encode(), ranks), np.int32).tobytes()
+                        else:  # the ids so far, then a word to fold
+                            parts.append(b"".join(ids[at:k])), place.append(words.setdefault(found[k], len(words)))
+                            size += len(parts[-1])
+                            ends.append(size)
+                            at = k + 1
+                    parts.append(b"".join(ids[at:] if at else ids))
+                    size += len(parts[-1])
+                    ends.append(size), rows.append(len(place) + 1), cold.append(list(words)), places.append(place)
+                columns = [batch.column(0), _lists(b"".join(parts), ends, rows), pa.array(cold, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "parts", "cold", "places"])
 
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    split = read.mapInArrow(run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, parts array<string>, cold array<string>, places array<int>")
+    split = read.mapInArrow(run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, parts array<array<int>>, cold array<string>, places array<int>")
+    none = F.array().cast("array<int>")
 
     def joined(folded: Column) -> Column:
-        pairs = F.zip_with("parts", "places", lambda s, i: F.array(s, F.coalesce(F.get(folded, i), F.lit(""))))
-        return F.array_join(F.filter(F.flatten(pairs), lambda x: x != ""), " ")
+        return F.flatten(F.zip_with("parts", "places", lambda ids, i: F.concat(ids, F.coalesce(F.get(folded, i), none))))
 
-    return split.select("doc_id", _let(fold_words(F.col("cold"), path), joined).alias("ids"))
+    return split.select("doc_id", F.when(F.size("cold") == 0, F.get("parts", F.lit(0))).otherwise(_let(fold_words(F.col("cold"), path), joined)).alias("ids"))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and n_bytes, the length of the decoded bytes."""
     ids = encode(docs, path, pattern)
-    n = F.when(F.col("ids") == "", 0).otherwise(F.length("ids") - F.length(F.translate("ids", " ", "")) + 1).cast("long")
-    out = ids.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), decode(F.col("ids"), path).alias("p__bytes"))
+    out = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), decode(F.col("ids"), path).alias("p__bytes"))
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("p__bytes", 256).alias("decoded_sha256"), F.octet_length("p__bytes").cast("long").alias("n_bytes"))
 
 
