@@ -7,7 +7,8 @@ key, which shuffles them globally. The same seed gives the same copies whatever
 
 Results in odd cases: a null source is a source of its own; a source with target weight 0 gives no
 rows; sources absent from the targets keep rate 0; repeated rows draw the same count; an empty table
-gives no rows; null ids and texts are copied as they are.
+gives no rows; null ids, null, empty and very long texts are copied as they are; columns of a caller that are called
+like those made here stay, and the made ones get underscores at their ends.
 """
 
 from __future__ import annotations
@@ -15,8 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Sources up to this many are broadcast to the documents; beyond it the join shuffles (AQE splits hot sources).
-BROADCAST_SOURCES = 10_000
+from poiweave.llm.columns import unused
+from poiweave.storage import materialise
+
+#: Bytes of cumulative probabilities up to which they are broadcast to the documents; beyond it the join shuffles (AQE splits hot sources).
+BROADCAST_BYTES = 8 << 20
 SEED = 20240607
 
 
@@ -25,23 +29,22 @@ def _uniform(seed: int, *columns: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11).cast("double") / F.lit(float(1 << 53))
 
 
-#: Cumulative Poisson probabilities of the counts from ``low`` up to where the tail is below 2**-53. The weights
-#: are folded from the mode, where they are 1, down and up, and divided by their sum: exp(-rate) is 0 in doubles
-#: for rates over 745. ``low`` is 0 for small rates; below it there is less than 2**-53.
-_SPREAD = "12 * sqrt(rate) + 30"
-_LOW = f"cast(greatest(0, floor(rate) - ceil({_SPREAD})) as int)"
-_MODE = "cast(floor(rate) as int)"
-_WEIGHTS = f"""
-concat(
-    reverse(aggregate(if({_MODE} > low, sequence({_MODE}, low + 1, -1), array()), array(1D), (s, k) -> concat(s, array(element_at(s, -1) * k / rate)))),
-    aggregate(sequence({_MODE} + 2, cast(ceil(rate + {_SPREAD}) as int)), array(rate / ({_MODE} + 1)), (s, k) -> concat(s, array(element_at(s, -1) * rate / k))))
-"""
-_SUMS = "aggregate(sequence(2, size(p__weights)), array(p__weights[0]), (s, k) -> concat(s, array(element_at(s, -1) + element_at(p__weights, k))))"
+def _log_probability(k: Column, rate: Column) -> Column:
+    """Log of the Poisson probability of ``k``. Around the mode its terms stay small: exp(-rate) is 0 in doubles for rates over 745."""
+    x = k.cast("double")
+    # what ln k! has over k ln k - k + ln(2 pi k) / 2: exact for small k, else its series
+    exact = F.log(F.factorial(F.least(k, F.lit(20)))) - (x * F.log(x) - x + 0.5 * F.log(2 * F.pi() * x))
+    series = 1 / (12 * x) - 1 / (360 * F.pow(x, 3)) + 1 / (1260 * F.pow(x, 5))
+    rest = F.when(k <= 20, exact).otherwise(series)
+    return F.when(k == 0, -rate).otherwise(x - rate - x * F.log1p((x - rate) / rate) - 0.5 * F.log(2 * F.pi() * x) - rest)
 
 
 def source_rates(docs: DataFrame, targets: dict | None = None, power: float = 0.5, source_col: str = "source") -> DataFrame:
-    """Per source: ``rows``, ``rate`` (mean repetitions), ``low`` (least count) and ``cdf`` from there. Without targets, a weight is rows ** power."""
-    counts = docs.groupBy(F.col(source_col).alias("p__source")).agg(F.count("*").alias("rows"))
+    """Per source (``p__source``): ``rows``, ``rate`` (mean repetitions), ``low`` and ``cdf``, the cumulative Poisson probabilities of the
+    counts from ``low`` up to where the tail is below 2**-53. ``low`` is 0 for small rates; below it there is less than 2**-53.
+    Without targets, a weight is rows ** power.
+    """
+    counts = materialise(docs.groupBy(F.col(source_col).alias("p__source")).agg(F.count("*").alias("rows")), "sources")
     if targets is None:
         weighted = counts.withColumn("weight", F.pow(F.col("rows").cast("double"), F.lit(power)))
     else:
@@ -49,22 +52,38 @@ def source_rates(docs: DataFrame, targets: dict | None = None, power: float = 0.
         weighted = counts.withColumn("weight", F.coalesce(F.element_at(F.create_map(*pairs), F.col("p__source")), F.lit(0.0)) if pairs else F.lit(0.0))
     total = weighted.agg(F.sum("rows"), F.sum("weight")).first()
     rows, weights = total[0] or 0, total[1] or 1.0
-    rated = weighted.withColumn("rate", F.col("weight") / F.lit(weights) * F.lit(float(rows)) / F.col("rows"))
-    folded = rated.withColumn("low", F.expr(_LOW)).withColumn("p__weights", F.expr(_WEIGHTS)).withColumn("p__sums", F.expr(_SUMS))
-    return folded.withColumn("cdf", F.expr("transform(p__sums, x -> x / element_at(p__sums, -1))")).drop("p__weights", "p__sums")
+    rate = F.col("rate")
+    spread = F.ceil(12 * F.sqrt(rate)) + 30
+    rated = weighted.withColumn("rate", F.col("weight") / F.lit(weights) * F.lit(float(rows)) / F.col("rows")).withColumn("low", F.greatest(F.lit(0), F.floor(rate) - spread).cast("int"))
+    each = rated.withColumn("k", F.explode(F.sequence("low", F.when(rate > 0, F.floor(rate) + spread).otherwise(F.lit(0)).cast("int"))))
+    each = each.withColumn("p", F.when(rate > 0, F.exp(_log_probability(F.col("k"), rate))).otherwise(F.lit(1.0)))
+    # a source has some 24 * sqrt(rate) + 60 counts
+    listed = each.groupBy("p__source", "rows", "rate", "low").agg(F.array_sort(F.collect_list(F.struct("k", "p"))).alias("each"))
+    summed = listed.withColumn("p__sums", F.expr(_SUMS))
+    return materialise(summed.select("p__source", "rows", "rate", "low", F.expr("transform(p__sums, x -> x / element_at(p__sums, -1))").alias("cdf")), "rates")
+
+
+#: Running sums in blocks of 256, so that their time grows little faster than their number.
+_SUMS = """
+aggregate(sequence(0, size(each) - 1, 256), cast(array() as array<array<double>>), (done, a) -> concat(done, array(
+    aggregate(slice(each, a + 1, 256), cast(array() as array<double>), (s, x) -> concat(s, array(coalesce(try_element_at(s, -1), try_element_at(try_element_at(done, -1), -1), 0D) + x.p)))
+)), done -> flatten(done))
+"""
 
 
 def poisson_mix(docs: DataFrame, targets: dict | None = None, power: float = 0.5, seed: int = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """Copies of the rows of ``docs`` with ``p__copy`` (0, 1, ...), ``p__rate`` and ``p__key``, globally shuffled."""
+    copy, rate, key, source, low, cdf, n = unused(docs, "p__copy", "p__rate", "p__key", "p__source", "p__low", "p__cdf", "p__n")
     rates = source_rates(docs, targets, power, source_col)
-    few = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    rates = rates.select("p__source", F.col("rate").alias("p__rate"), F.col("low").alias("p__low"), F.col("cdf").alias("p__cdf"))
-    drawn = docs.join(F.broadcast(rates) if few else rates, F.col(source_col).eqNullSafe(F.col("p__source")))
-    drawn = drawn.withColumn("p__u", _uniform(seed, id_col))
-    drawn = drawn.withColumn("p__n", F.expr("p__low + size(filter(p__cdf, x -> x <= p__u))")).where("p__n > 0")
-    copies = drawn.withColumn("p__copy", F.explode(F.expr("sequence(0, p__n - 1)")))
-    copies = copies.withColumn("p__key", F.xxhash64(F.lit(seed + 1), id_col, "p__copy"))
-    return copies.drop("p__source", "p__low", "p__cdf", "p__u", "p__n").repartition("p__key").sortWithinPartitions("p__key")
+    size = rates.agg(F.sum(F.size("cdf") * 8 + 64)).first()[0] or 0
+    rates = rates.select(F.col("p__source").alias(source), F.col("rate").alias(rate), F.col("low").alias(low), F.col("cdf").alias(cdf))
+    drawn = docs.join(F.broadcast(rates) if size <= BROADCAST_BYTES else rates, F.col(source_col).eqNullSafe(F.col(source)))
+    # the place that the uniform takes among the sorted probabilities is the number of those below it
+    u = _uniform(seed, id_col)
+    drawn = drawn.withColumn(n, F.col(low) + F.array_position(F.sort_array(F.array_append(cdf, u)), u).cast("int") - 1)
+    copies = drawn.withColumn(copy, F.explode(F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1))))
+    copies = copies.withColumn(key, F.xxhash64(F.lit(seed + 1), id_col, copy))
+    return copies.select(*docs.columns, copy, rate, key).repartition(key).sortWithinPartitions(key)
 
 
 def op8_query(spark, sf_dir: str) -> DataFrame:
