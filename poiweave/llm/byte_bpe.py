@@ -1,13 +1,13 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
-``fold_words`` encodes a word in the JVM: its bytes (hex pairs) are the first pieces, and an
-``aggregate`` folds merges over the places between them, each time the leftmost adjacent pair of least rank, looked up in
-a literal rank map (a literal open-addressing table, since Spark searches a map linearly). ``decode`` looks every id up in a literal array of binary pieces and concatenates them.
-
-Words repeat, so distinct words are folded, not tokens. One pass counts the words of the corpus; the
-most frequent (at most DICTIONARY of them and DICTIONARY_BYTES, bounds on memory, not on rows) are folded once and sent to
-the workers as a dictionary. The pass over the documents splits each text, replaces dictionary words
-by their ids, and hands the other distinct words of that document to the same fold. Every word of
+``fold_words`` encodes a word in the JVM: its bytes are the first pieces, and an ``aggregate`` folds merges over
+them, each time the leftmost adjacent pair of least rank, looked up in a literal rank map (a literal hash table over pairs
+of ids, since Spark searches a map linearly). ``decode`` looks every id up in a literal array of binary pieces and concatenates them.
+
+Words repeat, so distinct words are folded, not tokens. One pass counts the words of the corpus; those that
+occur more than once, the most frequent first (at most DICTIONARY of them and DICTIONARY_BYTES, bounds on memory, not on rows),
+are folded once and sent to the workers as a compressed dictionary. The pass over the documents splits each text, replaces
+dictionary words by their ids, and hands the other distinct words of that document to the same fold. Every word of
 every text is encoded; the dictionary only decides where. Words of over LONG_WORD characters are
 merged by a heap in the worker, with the same result.
 
@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.ipc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +32,12 @@ from pyspark.sql import functions as F
 from poiweave.llm import arrays as A
 from poiweave.storage import discard, materialise
 
-#: Distinct words sent to the workers, at most (about 200 bytes each in a Python dictionary), and bytes of their text.
-DICTIONARY, DICTIONARY_BYTES = 700_000, 32 << 20
-#: Slots of the literal rank map.
-SLOTS = 262_144
-_NONE = 2_147_483_647
+#: Distinct words sent to the workers, at most, and bytes of their text; they take about 60 bytes each in a worker.
+DICTIONARY, DICTIONARY_BYTES = 2_000_000, 32 << 20
+#: As many of them, the most frequent, lie in a Python dictionary (about 200 bytes each).
+HOT_WORDS = 250_000
+#: In the fold: no merge, and the id of the pieces at the ends. No token has either number.
+_NONE, _EDGE = 65_535, 65_534
 #: Words of more characters (blobs without a break) are merged by a heap in the worker: a fold over
 #: arrays takes time with the square of the length.
 LONG_WORD = 400
@@ -49,45 +51,41 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def _rank_table(path: str) -> tuple[str, int]:
-    """The rank map as an open-addressing table of longs (JSON text) and its longest probe.
-
-    The slot is the low bits of the key's 64-bit hash, the upper 48 bits of the entry confirm it, the
-    lower 16 are the rank; 0 is an empty slot.
+def _pair_table(path: str) -> tuple[int, int, list[int]]:
+    """The rank map by pairs of ids: two moduli and a table. The pair (a, b) has the key a * 65536 + b, and its entry, key * 65536 + rank,
+    is at the key's remainder by one of the moduli (cuckoo hashing); the rank of a merge is also the id it makes.
     """
-    import xxhash
-
-    table, longest = [0] * (SLOTS + 64), 0
-    for token, rank in load_ranks(path).items():
-        if rank >= 1 << 16:
-            raise ValueError("ranks above 65535 do not fit the table")
-        h = xxhash.xxh64_intdigest(token.hex().upper(), 42)  # what Spark's xxhash64 gives
-        at = h & (SLOTS - 1)
-        while table[at]:
-            at += 1
-        longest = max(longest, at - (h & (SLOTS - 1)))
-        entry = h >> 16 << 16 | rank
-        table[at] = entry - (1 << 64) if entry >> 63 else entry
-    return json.dumps(table, separators=(",", ":")), longest + 1
+    ranks, entries = load_ranks(path), {}
+    if max(ranks.values()) >= _EDGE:
+        raise ValueError("ranks above 65533 do not fit the table")
+    for token, rank in ranks.items():
+        for k in range(1, len(token)):
+            a, b = ranks.get(token[:k]), ranks.get(token[k:])
+            if a is not None and b is not None:
+                entries[a << 16 | b] = rank
+    size = max(1 << 10, 5 * len(entries) // 2) | 1
+    while True:
+        moduli, table = (size, size - 2), [0] * size
+        if all(_settle(table, key << 16 | rank, moduli) for key, rank in entries.items()):
+            return *moduli, table
+        size = size * 9 // 8 | 1
+
+
+def _settle(table: list[int], entry: int, moduli: tuple[int, int]) -> bool:
+    """Put an entry into its place, whose holder moves to its other place, and so on."""
+    turn = 0
+    for _ in range(200):
+        at = (entry >> 16) % moduli[turn]
+        entry, table[at] = table[at], entry
+        if not entry:
+            return True
+        turn = 1 if (entry >> 16) % moduli[0] == at else 0
+    return False
 
 
 def rank_map(path: str) -> Column:
-    """The literal rank map; constant folding turns the JSON text into a literal once."""
-    return F.from_json(F.lit(_rank_table(path)[0]), "array<bigint>")
-
-
-def _rank(table: Column, key: Column, probes: int) -> Column:
-    """The rank of a piece in hex; null if it is no token."""
-
-    def look(h: Column) -> Column:
-        slot = h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
-        out = F.lit(None).cast("int")
-        for k in reversed(range(probes)):
-            e = F.get(table, slot + k)
-            out = F.when(e == 0, F.lit(None).cast("int")).when(F.shiftrightunsigned(e.bitwiseXOR(h), 16) == 0, e.bitwiseAND(F.lit(65535)).cast("int")).otherwise(out)
-        return out
-
-    return _let(F.xxhash64(key), look)
+    """The table of the literal rank map; constant folding turns the JSON text into a literal once."""
+    return F.from_json(F.lit(json.dumps(_pair_table(path)[2], separators=(",", ":"))), "array<bigint>")
 
 
 @lru_cache(maxsize=2)
@@ -106,57 +104,57 @@ def piece_array(path: str) -> Column:
 
 
 def _let(value: Column, body) -> Column:
-    """Bind ``value`` once for ``body``."""
-    return F.transform(F.array(value), body)[0]
+    """Bind ``value`` once for ``body``: what an aggregate over nothing starts with and ends by."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda bound, _: bound, body)
 
 
 def fold_words(words: Column, path: str) -> Column:
     """The ids of each of an array of non-empty words.
 
-    The state holds the places between pieces and, for each place inside, the rank of the pair around it.
+    The state is an array of pieces, each one number: rank of the merge with the next piece, where the piece starts, its id. So the
+    least number is the leftmost merge of least rank. A piece without a meaning stands at either end.
     """
-    probes = _rank_table(path)[1]
-
-    def with_table(table: Column) -> Column:
-        none = F.array().cast("array<int>")
-
-        def merge(key: Column) -> Column:
-            n = (F.length(key) / 2).cast("int")
-
-            def rank(a: Column, b: Column) -> Column:
-                return _rank(table, F.substring(key, a * 2 + 1, (b - a) * 2), probes)
-
-            def step(state: Column, _: Column) -> Column:
-                cuts, ranks = state["cuts"], state["ranks"]
+    ranks = load_ranks(path)
+    single = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<int>")
+    moduli = _pair_table(path)[:2]
+    top = 1 << 36
+    first, last = _NONE << 36 | _EDGE, _NONE << 36 | top - 65536 | _EDGE
 
-                def merged(at: Column) -> Column:  # at: 1-based place in ranks, 0-based in cuts, of the pair to merge
-                    def put(near: Column) -> Column:  # two places to the left of it, two to the right
-                        left = F.when(at > 1, F.array(F.coalesce(rank(near[0], near[2]), F.lit(_NONE)))).otherwise(none)
-                        right = F.when(near[3].isNotNull(), F.array(F.coalesce(rank(near[1], near[3]), F.lit(_NONE)))).otherwise(none)
-                        return F.struct(
-                            F.array_remove(cuts, F.get(cuts, at)).alias("cuts"),
-                            F.flatten(F.array(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(ranks, at + 2, F.size(ranks)))).alias("ranks"),
-                        )
+    def rank(t: Column, a: Column, b: Column) -> Column:
+        def look(key: Column) -> Column:
+            one, two = (F.get(t, (key % m).cast("int")) for m in moduli)
+            value = lambda e: e.bitwiseAND(F.lit(65535))
+            return F.when(F.shiftright(one, 16) == key, value(one)).when(F.shiftright(two, 16) == key, value(two)).otherwise(F.lit(_NONE))
 
-                    return _let(F.array(F.get(cuts, at - 2), F.get(cuts, at - 1), F.get(cuts, at + 1), F.get(cuts, at + 2)), put)
+        return _let(a * 65536 + b, look)
 
-                least = F.array_min(ranks)
-                return F.when(least < _NONE, _let(F.array_position(ranks, least).cast("int"), merged)).otherwise(state)
+    def merge(t: Column, ids: Column) -> Column:
+        def step(state: Column, _: Column) -> Column:
+            def put(x: Column) -> Column:  # least number, its place from 0, the piece before it, the id after the next
+                new = F.shiftright(x[0], 36)
+                left = x[2].bitwiseAND(F.lit(top - 1)).bitwiseOR(F.shiftleft(rank(t, x[2].bitwiseAND(F.lit(65535)), new), 36))
+                here = x[0].bitwiseAND(F.lit(top - 65536)).bitwiseOR(new).bitwiseOR(F.shiftleft(rank(t, new, x[3]), 36))
+                moved = lambda made, at: F.transform(F.filter(state, lambda _, i: i != at + 1), lambda y, i: F.when(i == at, made[1]).when(i == at - 1, made[0]).otherwise(y))
+                return _let(x[1].cast("int"), lambda at: _let(F.array(left, here), lambda made: moved(made, at)))
 
-            def ids(state: Column) -> Column:
-                cuts = state["cuts"]
-                return F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), lambda k: rank(F.get(cuts, k), F.get(cuts, k + 1)))
+            def found(x: Column) -> Column:  # the place is the number of pieces that start before (array_position leaves its loop by an exception)
+                at = F.size(F.filter(state, lambda y: y.bitwiseAND(F.lit(top - 1)) < x[1])).cast("long")
+                look = lambda at: F.array(x[0], at, F.get(state, at.cast("int") - 1), F.get(state, at.cast("int") + 2).bitwiseAND(F.lit(65535)))
+                return F.when(x[0] < _NONE << 36, _let(_let(at, look), put)).otherwise(state)
 
-            pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.coalesce(rank(i - 1, i + 1), F.lit(_NONE)))
-            start = F.struct(F.sequence(F.lit(0), n).alias("cuts"), pairs.alias("ranks"))
-            return F.aggregate(F.sequence(F.lit(1), n - 1), start, step, ids)
+            return _let(_let(F.array_min(state), lambda least: F.array(least, least.bitwiseAND(F.lit(top - 1)))), found)
 
-        def word(key: Column) -> Column:
-            return _let(_rank(table, key, probes), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merge(key)))
+        n = F.size(ids)
+        pieces = F.transform(ids, lambda a, i: rank(t, a.cast("long"), F.coalesce(F.get(ids, i + 1), F.lit(_EDGE))) * top + (i + 1).cast("long") * 65536 + a)
+        start = F.flatten(F.array(F.array(F.lit(first)), pieces, F.array(F.lit(last))))
+        done = F.aggregate(F.sequence(F.lit(2), n), start, step)
+        return _let(done, lambda x: F.transform(F.slice(x, F.lit(2), F.size(x) - 2), lambda y: y.bitwiseAND(F.lit(65535)).cast("int")))
 
-        return F.transform(words, lambda w: _let(F.hex(w), word))
+    def word(t: Column, s: Column, w: Column) -> Column:
+        octets = F.split(F.decode(F.encode(w, "UTF-8"), "ISO-8859-1"), "")
+        return _let(F.transform(octets, lambda c: F.get(s, F.ascii(c))), lambda ids: F.when(F.size(ids) > 1, merge(t, ids)).otherwise(ids))
 
-    return _let(rank_map(path), with_table)
+    return _let(rank_map(path), lambda t: _let(single, lambda s: F.transform(words, lambda w: word(t, s, w))))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -204,36 +202,94 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
     return docs.select(F.explode(words).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
-def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY, limit_bytes: int = DICTIONARY_BYTES) -> bytes:
-    """Ids of the most frequent words, as an Arrow stream: all words whose count is in a class (an eighth of a power of two) as high as keeps
-    within ``limit`` and ``limit_bytes``. The driver only passes the stream on; workers make a Python dictionary of it.
+def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY, limit_bytes: int = DICTIONARY_BYTES, hot: int = HOT_WORDS) -> list[bytes]:
+    """Ids of the most frequent words, as compressed Arrow streams of (word, ids, hot): all words whose count is in a class (an eighth of a
+    power of two) as high as keeps within ``limit`` and ``limit_bytes``, and the hot ones within ``hot``. The driver only passes them on.
     """
     counts = materialise(word_counts(docs, pattern, text_col).where(f"n > 1 and length(word) <= {LONG_WORD}").withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "words")
-    words, size, least = 0, 0, None
+    words, size, least, least_hot = 0, 0, None, 1 << 30
     for row in counts.groupBy("class").agg(F.count("*"), F.sum(F.octet_length("word"))).orderBy(F.desc("class")).collect():  # 512 rows at most
         words, size = words + row[1], size + row[2]
         if words > limit or size > limit_bytes:
             break
-        least = row[0]
+        least, least_hot = row[0], row[0] if words <= hot else least_hot
     wanted = counts.where(F.col("class") >= least) if least is not None else counts.limit(0)
-    table = wanted.select("word", fold_words(F.array("word"), path)[0].alias("ids")).toArrow()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [b for b in batches if b.num_rows]
+        if rows:
+            table, out = pa.Table.from_batches(rows).sort_by("word"), pa.BufferOutputStream()
+            table = table.set_column(1, "ids", table.column(1).cast(pa.list_(pa.uint16())))
+            with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(table, max_chunksize=1 << 16)
+            yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], ["blob"])
+
+    folded = wanted.select("word", fold_words(F.array("word"), path)[0].alias("ids"), (F.col("class") >= least_hot).alias("hot"))
+    blobs = [bytes(r[0]) for r in folded.mapInArrow(pack, "blob binary").collect()]
     discard(counts)
-    out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, table.schema) as stream:
-        stream.write_table(table)
-    return out.getvalue().to_pybytes()
+    return blobs
+
+
+class _Known:
+    """The dictionary in a worker. Ids are 32-bit numbers end to end. Hot words are in ``hot``; the others in a hash table of arrays, by
+    places of an open-addressing table, with their text to compare."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.hot: dict[str, bytes] = {}
+        texts, ids = [], []
+        for blob in blobs:
+            for batch in pa.ipc.open_stream(blob):
+                hot = batch.column(2)
+                few = batch.filter(hot)
+                lists = few.column(1)
+                cuts, flat = (lists.offsets.to_numpy() * 4).tolist(), lists.values.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()
+                self.hot.update(zip(few.column(0).to_pylist(), [flat[a:b] for a, b in zip(cuts, cuts[1:])]))
+                rest = batch.filter(pa.compute.invert(hot))
+                texts.append(rest.column(0)), ids.append(rest.column(1))
+        text = pa.concat_arrays(texts) if texts else pa.array([], pa.string())
+        lists = pa.concat_arrays(ids) if ids else pa.array([], pa.list_(pa.uint16()))
+        self.raw, self.text_at = A.strings(text)
+        self.ids, self.ids_at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        size = 1 << max(4, (2 * len(text) - 1).bit_length()) if len(text) else 16
+        self.mask = np.int64(size - 1)
+        self.entry, self.code = np.full(size, -1, np.int32), np.zeros(size, np.int64)
+        code = np.concatenate([np.fromiter(map(hash, text[a : a + 65536].to_pylist()), np.int64) for a in range(0, len(text), 65536)] or [np.zeros(0, np.int64)])
+        todo, at = np.arange(len(code)), code & self.mask
+        while len(todo):
+            free = np.flatnonzero(self.entry[at[todo]] < 0)
+            where, first = np.unique(at[todo[free]], return_index=True)
+            put = todo[free[first]]
+            self.entry[where], self.code[where] = put, code[put]
+            left = np.ones(len(todo), bool)
+            left[free[first]] = False
+            todo = todo[left]
+            at[todo] = at[todo] + 1 & self.mask
+
+    def find(self, words: list[str]) -> list[bytes | None]:
+        """Ids of words that are not hot; None where a word is not in the dictionary."""
+        code = np.fromiter(map(hash, words), np.int64, len(words))
+        at, todo, out = code & self.mask, np.arange(len(words)), [None] * len(words)
+        while len(todo):
+            entry = self.entry[at[todo]]
+            same = (entry >= 0) & (self.code[at[todo]] == code[todo])
+            for k, e in zip(todo[same].tolist(), entry[same].tolist()):
+                if self.raw[self.text_at[e] : self.text_at[e + 1]].tobytes() == words[k].encode():
+                    out[k] = self.ids[self.ids_at[e] : self.ids_at[e + 1]].astype(np.int32).tobytes()
+            todo = todo[(entry >= 0) & ~same]  # two words of one hash are so rare that the second may be folded again
+            at[todo] = at[todo] + 1 & self.mask
+        return out
 
 
-@lru_cache(maxsize=1)
-def _unpacked(data: bytes) -> dict[str, bytes]:
-    """The dictionary of an Arrow stream, once per worker process: ids as 32-bit numbers end to end."""
-    out: dict[str, bytes] = {}
-    for batch in pa.ipc.open_stream(data):
-        ids = batch.column(1)
-        cuts = (ids.offsets.to_numpy() * 4).tolist()
-        flat = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), np.int32).tobytes()
-        out.update(zip(batch.column(0).to_pylist(), [flat[a:b] for a, b in zip(cuts, cuts[1:])]))
-    return out
+_KEPT: dict = {}
+
+
+def _known(blobs: list[bytes]) -> _Known:
+    """The dictionary of these streams, once per worker process; a broadcast's value is one object there."""
+    if _KEPT.get("of") is not blobs:
+        _KEPT.clear()
+        _KEPT["is"] = _Known(blobs)
+        _KEPT["of"] = blobs
+    return _KEPT["is"]
 
 
 def _lists(blob: bytes, ends: list[int], rows: list[int]) -> pa.Array:
@@ -247,31 +303,42 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """(doc_id, ids): the ids of every text, as an array."""
     spark = docs.sparkSession
     A.prepare(spark)
-    known = spark.sparkContext.broadcast((dictionary(docs, path, pattern, text_col), load_ranks(path)))
+    blobs = spark.sparkContext.broadcast(dictionary(docs, path, pattern, text_col))
+    ranks = spark.sparkContext.broadcast(load_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, get, ranks = regex.compile(pattern).findall, _unpacked(known.value[0]).get, known.value[1]
+        known, find = _known(blobs.value), regex.compile(pattern).findall
+        get = known.hot.get
         for whole in batches:
-            for batch in A.slices(whole, 1):
-                parts, ends, rows, cold, places, size = [], [], [], [], [], 0
+            for batch in A.slices(whole, 1, 1 << 20):
+                lists, unknown, words = [], [], []
                 for text in batch.column(1).to_pylist():
                     found = find(text or "")
                     ids = list(map(get, found))
-                    words, place, at, k = {}, [], 0, -1
+                    at, k = [], -1
                     for _ in range(ids.count(None)):
                         k = ids.index(None, k + 1)
-                        if len(found[k]) > LONG_WORD:
-                            ids[k] = np.array(merge_long(found[k].encode(), ranks), np.int32).tobytes()
-                        else:  # the ids so far, then a word to fold
-                            parts.append(b"".join(ids[at:k])), place.append(words.setdefault(found[k], len(words)))
+                        at.append(k)
+                        words.append(found[k])
+                    lists.append(ids), unknown.append(at)
+                parts, ends, rows, cold, places, size = [], [], [], [], [], 0
+                rest = zip(words, known.find(words))
+                for ids, at in zip(lists, unknown):
+                    fresh, place, begin = {}, [], 0
+                    for k, (word, got) in zip(at, rest):
+                        if got is None and len(word) > LONG_WORD:
+                            got = np.array(merge_long(word.encode(), ranks.value), np.int32).tobytes()
+                        ids[k] = got
+                        if got is None:  # the ids so far, then a word to fold
+                            parts.append(b"".join(ids[begin:k])), place.append(fresh.setdefault(word, len(fresh)))
                             size += len(parts[-1])
                             ends.append(size)
-                            at = k + 1
-                    parts.append(b"".join(ids[at:] if at else ids))
+                            begin = k + 1
+                    parts.append(b"".join(ids[begin:] if begin else ids))
                     size += len(parts[-1])
-                    ends.append(size), rows.append(len(place) + 1), cold.append(list(words)), places.append(place)
+                    ends.append(size), rows.append(len(place) + 1), cold.append(list(fresh)), places.append(place)
                 columns = [batch.column(0), _lists(b"".join(parts), ends, rows), pa.array(cold, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "parts", "cold", "places"])
 
