@@ -11,22 +11,45 @@ LOCAL_DEFAULT = "file:/tmp/checkpoints/poiweave"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local default where the setting is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_DEFAULT).rstrip("/")
+    """The folder in ``spark.checkpoint.dir``; in local mode a local default where the setting is unset, on a cluster a ValueError."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (folder or LOCAL_DEFAULT).rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_dir(spark)}/poiweave/{name}-{uuid.uuid4().hex}"
+
+
+def _at(spark: SparkSession, path: str):
+    """Hadoop's file system and path of a path."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver's JVM delete a path when it ends."""
+    files, there = _at(spark, path)
+    files.deleteOnExit(there)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: a plan without lineage."""
+    """Write ``df`` as Parquet into the shared folder and read it back: a plan without lineage.
+
+    The files stay until ``discard`` or the end of the driver, since a lazy result may read them at any time.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/poiweave/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
+    drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``materialise`` wrote; nothing may read it afterwards."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/poiweave/" in f}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        files, there = _at(df.sparkSession, folder)
+        files.delete(there, True)
+        files.cancelDeleteOnExit(there)
