@@ -1,17 +1,17 @@
 """Quality classifier by importance resampling.
 
 Word unigrams and bigrams are hashed into BUCKETS; one generative model is fitted to target text (a
-bounded, documented sample of labelled good rows), one to all raw text. A document's importance is the
-log ratio of the two models. Keys of log weight plus Gumbel noise (seeded by the id) are ranked and the
-k largest kept, which samples k documents without replacement in proportion to their weights. The log
-ratio is taken per n-gram and scaled by 1 / TEMPERATURE, so that length does not decide.
+bounded, documented sample of labelled good rows that are not toxic), one to all raw text. A document's importance weight is the
+ratio of its probabilities under the two models: its log is the sum of the log ratios of its n-grams. Keys of log weight plus
+Gumbel noise (seeded by the id) are ranked and the k largest kept, which samples k documents without replacement in proportion to
+their weights. ``per_gram`` takes the mean of the log ratios over ``temperature`` instead, so that length does not decide.
 
-k is the share of good rows among all labelled ones times the number of documents. The k-th key is
+k is the share of good rows that are not toxic among all labelled ones times the number of documents. The k-th key is
 found exactly by narrowing a histogram of 64-bit keys, so nothing is sorted or collected.
 
-Results in odd cases: null and empty texts have no n-grams and a log ratio of EMPTY (last); repeated
-ids draw equal noise, and rows that tie with the k-th key are all kept; without labels everything is
-kept; an empty table gives no rows.
+Results in odd cases: null and empty texts have no n-grams and a log ratio of EMPTY (last); null ids draw the noise of a null; very long
+texts count as a whole; repeated ids draw equal noise, and rows that tie with the k-th key are all kept, so that ``kept`` may exceed
+k by their number; without labels everything is kept; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -30,11 +30,15 @@ from poiweave.storage import materialise
 BUCKETS = 65_536
 #: Labelled target rows that fit the target model: those of least id hash, at most.
 TARGET_ROWS = 50_000
-#: Spread of the Gumbel noise in units of log ratio per n-gram.
+#: Spread of the Gumbel noise in units of log ratio per n-gram, for ``per_gram``.
 TEMPERATURE = 0.02
 SMOOTHING = 1.0
-EMPTY = -20.0
+#: Log weight of a text without n-grams, below that of any other.
+EMPTY = -1e9
+#: Keys are compared as whole multiples of 2**-KEY_BITS.
+KEY_BITS = 24
 SEED = 11
+_GOOD = "coalesce(quality = 1 and coalesce(toxic, 0) = 0, false)"
 
 
 def _grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,8 +77,9 @@ def _scorer(ratio: np.ndarray):
                 grams, row = _grams(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 total[i:j] = np.bincount(row, weights=ratio[grams], minlength=j - i)
                 number[i:j] = np.bincount(row, minlength=j - i)
+            weight = np.where(number > 0, total, EMPTY)
             mean = np.where(number > 0, total / np.maximum(number, 1), EMPTY)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(number), pa.array(np.where(number > 0, total, 0.0)), pa.array(mean)], ["doc_id", "n_grams", "log_ratio", "mean_ratio"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(number), pa.array(weight), pa.array(mean)], ["doc_id", "n_grams", "log_ratio", "mean_ratio"])
 
     return run
 
@@ -107,7 +112,7 @@ def kth_largest(keys: DataFrame, column: str, k: int, bits: int = 12) -> int | N
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_rows: int = TARGET_ROWS) -> np.ndarray | None:
     """Log ratio of target to raw model for every bucket; None without target rows."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id")
+    good = labels.where(_GOOD).where("doc_id is not null").select("doc_id")
     ids = [r[0] for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows).collect()]
     if not ids:
         return None
@@ -120,17 +125,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
 
 
-def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float | None = None, temperature: float = TEMPERATURE) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float | None = None, per_gram: bool = False, temperature: float = TEMPERATURE) -> DataFrame:
     """doc_id, n_grams, log_ratio, mean_ratio, key, kept: one row for each row of ``docs``."""
     A.prepare(docs.sparkSession)
     ratio = fit(docs, labels, id_col, text_col)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scored = read.mapInArrow(_scorer(ratio if ratio is not None else np.zeros(BUCKETS)), "doc_id long, n_grams long, log_ratio double, mean_ratio double")
-    scored = scored.withColumn("key", F.col("mean_ratio") / F.lit(temperature) + gumbel(SEED, "doc_id"))
+    weight = F.col("mean_ratio") / F.lit(temperature) if per_gram else F.col("log_ratio")
+    scored = scored.withColumn("key", weight + gumbel(SEED, "doc_id"))
     # keys as longs of the same order: fixed point
-    scored = materialise(scored.withColumn("p__key", F.round(F.col("key") * F.lit(float(1 << 32))).cast("long")), "scores")
+    scored = materialise(scored.withColumn("p__key", F.round(F.col("key") * F.lit(float(1 << KEY_BITS))).cast("long")), "scores")
     if share is None:
-        row = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()
+        row = labels.agg(F.avg(F.expr(f"cast({_GOOD} as double)"))).first()
         share = row[0] if row[0] is not None else 1.0
     n = scored.count()
     k = math.ceil(share * n) if ratio is not None else n
