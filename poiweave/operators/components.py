@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from poiweave.storage import discard, materialise
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a written table, and their number and sum of hashes, taken while they are written."""
+    seen = Observation()
+    table = materialise(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")), "edges")
+    return table, (seen.get["n"], seen.get["s"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,13 +39,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     folder, so a lost executor costs one step.
     """
     pair = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).alias("_a"), F.col(b).alias("_b"))
-    now = materialise(pair.where("_a is not null and _b is not null and u <> v").select("u", "v").distinct(), "edges")
-    seen = _digest(now)
+    now, seen = _written(pair.where("_a is not null and _b is not null and u <> v").select("u", "v").distinct())
     while seen[0]:
-        step = materialise(_small_star(_large_star(now)), "edges")
-        discard(now)
-        now, before = step, seen
-        seen = _digest(now)
+        before, old = seen, now
+        now, seen = _written(_small_star(_large_star(old)))
+        discard(old)
         if seen == before:
             break
     roots = now.select(F.col("v").alias("id")).distinct()
