@@ -9,15 +9,16 @@
    rest is confirmed on full shingle sets. Components join what is confirmed.
 4. Buckets that still hold more than one component get further rounds with other centres, and at the
    end every member outside a bucket's largest component is compared with all members of other
-   components, so no link between different texts is lost. That last comparison uses finer sketches,
-   made for these members only, so that pairs a little below the threshold are not built.
+   components, in blocks. That last comparison uses finer sketches, made for these members only, so that pairs a little below the
+   threshold are not built. A pair at the threshold is missed where the bands or a sketch fail it, each with a chance below MISS.
 
 Only ids, digests and sketches of candidates move; full sets are recomputed from the texts of
-documents in a surviving pair. Rows with one doc_id are one document.
+documents in a surviving pair. To confirm, the set of a pair's more frequent side is sent once for each block of its partners, and
+blocks are dealt by both, so a text with very many candidates is spread over tasks. Rows with one doc_id are one document.
 
 Results in odd cases: null or empty texts, and texts without words, have an empty set and link with
-nothing; a text with fewer words than a shingle is one shingle; a null id gets a null component and is
-kept; an empty table gives no rows; extra columns are not read.
+nothing; a text with fewer words than a shingle is one shingle; a very long text is one set like any other; a null id gets a null
+component and is kept; repeated rows are one document; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as A
+from poiweave.llm.columns import unused
 from poiweave.operators.components import connected_components
 from poiweave.storage import discard, materialise
 
@@ -42,6 +44,8 @@ FINE_SAMPLES, FINE_BITS = 2_048, 4_096
 #: Ids up to this many are broadcast to the scan that recomputes full sets; beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
 STAR_ROUNDS = 3
+#: To confirm, a block has as many pairs of one text, and as many shingles; in the last round, as many members of a bucket.
+BLOCK_PAIRS, BLOCK_SHINGLES, BLOCK_MEMBERS = 64, 1 << 20, 512
 
 
 def bands_for(threshold_pct: int, samples: int = SAMPLES) -> tuple[int, int]:
@@ -150,6 +154,35 @@ def _fine_signer(width: int, samples: int, bits: int):
     return run
 
 
+def _matcher(pct: int):
+    """Rows (a, part, b, shingles) in order, the set of ``a`` first, with a null b: the pairs whose sets reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, own = None, []
+        for batch in batches:
+            lists = batch.column(3)
+            at, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            out = []
+            for i, (a, part, b) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)))):
+                if block != (a, part):
+                    block, own = (a, part), []
+                these = values[at[i] : at[i + 1]]
+                if b is None:
+                    own.append(these.copy())
+                    continue
+                for mine in own if len(these) else ():
+                    if not len(mine):
+                        continue
+                    place = np.minimum(np.searchsorted(mine, these), len(mine) - 1)
+                    common = int((mine[place] == these).sum())
+                    if 100 * common >= pct * (len(mine) + len(these) - common):
+                        out.append((a, b))
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
 class _Links:
     """Confirms candidate pairs of class representatives."""
 
@@ -181,16 +214,25 @@ class _Links:
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """Of sifted pairs, a table of those whose full sets reach the threshold."""
         pairs = materialise(pairs, "pairs")
-        ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct()
-        n = ids.count()
+        met = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("c"))
+        parts = F.ceil(F.greatest(F.col("c") / BLOCK_PAIRS, F.col("c") * F.col("n") / BLOCK_SHINGLES)).cast("int")
+        degrees = materialise(met.join(self.classes.select(F.col("rep").alias("id"), "n"), "id").select("id", F.struct("c", "id").alias("w"), parts.alias("parts")), "degrees")
+        n = degrees.count()
         if not n:
             return pairs
+        ids = degrees.select("id")
         wanted = self.texts.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "id", "left_semi")
         sets = materialise(wanted.mapInArrow(_setter(self.width), "id long, shingles array<long>"), "sets")
-        held = pairs.join(sets.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b").join(sets.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a")
-        held = held.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-        links = materialise(held.where(F.expr(f"100 * common >= {self.pct} * (size(sa) + size(sb) - common)")).select("a", "b").distinct(), "links")
-        discard(sets), discard(pairs)
+        side = lambda x: degrees.select(F.col("id").alias(x), F.struct("w", "parts").alias(f"of_{x}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        turned = F.col("of_a.w") < F.col("of_b.w")  # the side with more pairs comes first
+        both = both.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"), F.when(turned, F.col("of_b.parts")).otherwise(F.col("of_a.parts")).alias("parts"))
+        dealt = both.select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), "b")
+        partners = dealt.join(sets, F.col("b") == F.col("id")).select("a", "part", "b", "shingles")
+        first = dealt.select("a", "part").distinct().join(sets, F.col("a") == F.col("id")).select("a", "part", F.lit(None).cast("long").alias("b"), "shingles")
+        rows = partners.unionAll(first).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+        links = materialise(rows.mapInArrow(_matcher(self.pct), "a long, b long").distinct(), "links")
+        discard(sets), discard(pairs), discard(degrees)
         return links
 
 
@@ -228,13 +270,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         open_ = members.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
         members = members.join(open_, "bucket").drop("centre")
         sizes = members.groupBy("bucket", "part").agg(F.count("*").alias("c"))
-        main = sizes.groupBy("bucket").agg(F.max_by("part", F.struct("c", "part")).alias("main"))
+        main = sizes.groupBy("bucket").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.ceil(F.sum("c") / BLOCK_MEMBERS).cast("int").alias("blocks"))
         if k < STAR_ROUNDS:
             # other centres: the smallest id, then the most met outside the largest component; own components need no look
             if k == 1:
                 hub = members.groupBy("bucket").agg(F.min(F.struct("rep", "part")).alias("h"))
             else:
-                hub = members.join(main, "bucket").where("part <> main").groupBy("bucket").agg(F.max_by(F.struct("rep", "part"), F.struct("fame", "rep")).alias("h"))
+                hub = members.join(main.drop("blocks"), "bucket").where("part <> main").groupBy("bucket").agg(F.max_by(F.struct("rep", "part"), F.struct("fame", "rep")).alias("h"))
             pairs = members.join(hub, "bucket").where("part <> h.part").select(*pair("rep", "h.rep"))
             pairs = links_of.sift(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
         else:
@@ -242,12 +284,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if members.isEmpty():
                 break
             info = classes.join(links_of.fine(members), "rep").select("rep", F.struct("n", "sketch", "bands", "fine").alias("i"))
-            held = members.join(info, "rep")
-            rest = held.join(main, "bucket").where("part <> main").select("bucket", F.struct("rep", "part", "main", "i").alias("x"))
-            full = held.select("bucket", F.struct("rep", "part", "i").alias("y"))
+            held = members.join(info, "rep").join(main, "bucket")
+            # the members of a bucket go to blocks; those outside its largest component meet every block
+            block = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
+            rest = held.where("part <> main").select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.struct("rep", "part", "main", "i").alias("x"))
+            full = held.select("bucket", block.alias("block"), F.struct("rep", "part", "i").alias("y"))
             # a pair counts in the first bucket that it shares
             first = F.expr("get(x.i.bands, cast(array_position(zip_with(x.i.bands, y.i.bands, (p, q) -> p = q), true) as int) - 1) = bucket")
-            pairs = rest.join(full, "bucket").where("x.part <> y.part and (y.part = x.main or x.rep < y.rep)").where(links_of.near("x.i", "y.i") & links_of.near_fine("x.i", "y.i") & first)
+            pairs = rest.join(full, ["bucket", "block"]).where("x.part <> y.part and (y.part = x.main or x.rep < y.rep)").where(links_of.near("x.i", "y.i") & links_of.near_fine("x.i", "y.i") & first)
             pairs = pairs.select(*pair("x.rep", "y.rep")).distinct().join(tried, ["a", "b"], "left_anti")
         more = links_of.confirm(pairs)
         if more.isEmpty():
@@ -269,9 +313,10 @@ def op2_query(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near copies (five-word shingles, 80 per cent), the smallest id stays."""
-    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("p__id")).distinct()
+    (own,) = unused(docs, "p__id")
+    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias(own)).distinct()
     # few rows or many: the planner picks the join by the size of the table just written
-    return docs.join(materialise(dropped, "dropped"), F.col("doc_id") == F.col("p__id"), "left_anti")
+    return docs.join(materialise(dropped, "dropped"), F.col("doc_id") == F.col(own), "left_anti")
 
 
 OP2_SQL = r"""
