@@ -8,9 +8,9 @@ with an ``idx1`` index and a ``plen`` chunk (payload length). Reading parses the
 intra frame to pixels, compares grey histograms of neighbouring frames with an adaptive threshold
 (running mean plus three deviations) and returns shots as timed clips.
 
-Results in odd cases: null and empty texts are one block of zeros; equal texts give equal media and
-features; an empty table gives no rows; extra columns are not read. A broken container raises
-``ValueError``.
+Results in odd cases: null and empty texts are one block of zeros; a null id keeps its row; a very long text is one long media, of which
+a worker holds a few at a time; equal texts give equal media and features; an empty table gives no rows; extra columns are not read.
+A broken container raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -315,8 +315,7 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 128):
-                part = batch.slice(i, 128)
+            for part in A.slices(batch, 1, 1 << 20):
                 texts = [(t or "").encode() for t in part.column(1).to_pylist()]
                 media = [write_avi(t.ljust(max(UNIT, -(-len(t) // UNIT) * UNIT), b"\x00")) for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(map(len, texts), pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
@@ -324,35 +323,33 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def clip_rows(media: DataFrame) -> DataFrame:
-    """doc_id, clip, first_frame, last_frame, start_s, end_s, brightness: one row for each shot."""
+#: A shot: its number, first and last frame, start and end in seconds, mean brightness times 100.
+CLIP = "struct<clip: int, first_frame: int, last_frame: int, start_s: double, end_s: double, brightness: int>"
+_CLIP = pa.struct([("clip", pa.int32()), ("first_frame", pa.int32()), ("last_frame", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("brightness", pa.int32())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(d, k, *c) for d, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if m is not None for k, c in enumerate(describe(m)["clips"])]
-            names = ["doc_id", "clip", "first_frame", "last_frame", "start_s", "end_s", "brightness"]
-            kinds = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.int64()]
-            columns = list(zip(*rows)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    return media.select("doc_id", "media").mapInArrow(run, "doc_id long, clip long, first_frame long, last_frame long, start_s double, end_s double, brightness long")
+def clip_rows(read: DataFrame) -> DataFrame:
+    """doc_id, clip, first_frame, last_frame, start_s, end_s, brightness: one row for each shot of what ``read_back`` gives."""
+    return read.select("doc_id", F.explode("clips").alias("p__clip")).select("doc_id", "p__clip.*")
 
 
 def read_back(media: DataFrame) -> DataFrame:
-    """doc_id, n_bytes and the digests and features of the stored bytes, read back."""
+    """doc_id, n_bytes, the digests and features of the stored bytes, read back, and their timed clips."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for m in batch.column(2).to_pylist():
+            for m in batch.column(2):
+                m = m.as_py()
                 got = describe(m)
                 p = got["payload"]
-                rows.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), got["feature"]))
-            columns = list(zip(*rows)) or [[]] * 6
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c, k) for c, k in zip(columns, kinds))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                clips = [(k, *c) for k, c in enumerate(got["clips"])]
+                rows.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-UNIT:]), len(m), hashlib.sha256(m).hexdigest(), got["feature"], [dict(zip(_CLIP.names, c)) for c in clips]))
+            columns = list(zip(*rows)) or [[]] * 7
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(_CLIP)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c, k) for c, k in zip(columns, kinds))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "clips"])
 
-    return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.mapInArrow(run, f"doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, clips array<{CLIP}>")
 
 
 def op3_query(spark, sf_dir: str) -> DataFrame:
