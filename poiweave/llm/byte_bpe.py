@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,7 +36,7 @@ from poiweave.storage import discard, materialise
 #: Distinct words sent to the workers, at most, and bytes of their text; they take about 60 bytes each in a worker.
 DICTIONARY, DICTIONARY_BYTES = 2_000_000, 32 << 20
 #: As many of them, the most frequent, lie in a Python dictionary (about 200 bytes each).
-HOT_WORDS = 250_000
+HOT_WORDS = 200_000
 #: In the fold: no merge, and the id of the pieces at the ends. No token has either number.
 _NONE, _EDGE = 65_535, 65_534
 #: Words of more characters (blobs without a break) are merged by a heap in the worker: a fold over
@@ -195,6 +196,28 @@ def decode(ids: Column, path: str) -> Column:
     return _let(piece_array(path), lambda pieces: F.array_join(F.transform(ids, lambda x: F.get(pieces, x)), "")).cast("binary")
 
 
+def latin_pattern(pattern: str) -> str | None:
+    """The pattern for texts of characters below 256, with its classes written out, for the faster ``re``; None if it has other escapes."""
+    import regex
+
+    def members(escape: str) -> str:
+        return "".join(f"\\x{c:02x}" for c in range(256) if regex.match(escape, chr(c)))
+
+    out, inside, at = "", False, 0
+    while at < len(pattern):
+        escape = regex.match(r"\\p\{[LN]\}|\\[sS]", pattern[at:])
+        if escape:
+            own = members(escape[0])
+            out += own if inside else f"[{own}]"
+            at += escape.end()
+            continue
+        if pattern[at] == "\\":
+            return None
+        inside = pattern[at] != "]" if pattern[at] in "[]" else inside
+        out, at = out + pattern[at], at + 1
+    return out
+
+
 def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
     """(word, n) of every distinct match of the pattern in the corpus. Java's idea of white space may split a few texts in another way than
     the workers do; their words then are no dictionary words, with the same ids."""
@@ -250,16 +273,16 @@ class _Known:
         lists = pa.concat_arrays(ids) if ids else pa.array([], pa.list_(pa.uint16()))
         self.raw, self.text_at = A.strings(text)
         self.ids, self.ids_at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        size = 1 << max(4, (2 * len(text) - 1).bit_length()) if len(text) else 16
+        size = 1 << max(4, (4 * len(text) // 3).bit_length())
         self.mask = np.int64(size - 1)
-        self.entry, self.code = np.full(size, -1, np.int32), np.zeros(size, np.int64)
+        self.entry, self.code = np.full(size, -1, np.int32), np.zeros(size, np.int32)
         code = np.concatenate([np.fromiter(map(hash, text[a : a + 65536].to_pylist()), np.int64) for a in range(0, len(text), 65536)] or [np.zeros(0, np.int64)])
         todo, at = np.arange(len(code)), code & self.mask
         while len(todo):
             free = np.flatnonzero(self.entry[at[todo]] < 0)
             where, first = np.unique(at[todo[free]], return_index=True)
             put = todo[free[first]]
-            self.entry[where], self.code[where] = put, code[put]
+            self.entry[where], self.code[where] = put, code[put] >> 32
             left = np.ones(len(todo), bool)
             left[free[first]] = False
             todo = todo[left]
@@ -271,11 +294,11 @@ class _Known:
         at, todo, out = code & self.mask, np.arange(len(words)), [None] * len(words)
         while len(todo):
             entry = self.entry[at[todo]]
-            same = (entry >= 0) & (self.code[at[todo]] == code[todo])
+            same = (entry >= 0) & (self.code[at[todo]] == code[todo] >> 32)
             for k, e in zip(todo[same].tolist(), entry[same].tolist()):
                 if self.raw[self.text_at[e] : self.text_at[e + 1]].tobytes() == words[k].encode():
                     out[k] = self.ids[self.ids_at[e] : self.ids_at[e + 1]].astype(np.int32).tobytes()
-            todo = todo[(entry >= 0) & ~same]  # two words of one hash are so rare that the second may be folded again
+            todo = todo[(entry >= 0) & ~same]  # a word behind another with the same 32 bits is folded again, which is rare
             at[todo] = at[todo] + 1 & self.mask
         return out
 
@@ -292,6 +315,15 @@ def _known(blobs: list[bytes]) -> _Known:
     return _KEPT["is"]
 
 
+def _latin(text: str) -> bool:
+    """All characters are below 256."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _lists(blob: bytes, ends: list[int], rows: list[int]) -> pa.Array:
     """Lists of lists of 32-bit numbers: bytes of all, where each inner list ends in them, and how many inner lists each row has."""
     flat = pa.Array.from_buffers(pa.int32(), len(blob) // 4, [None, pa.py_buffer(blob)])
@@ -305,17 +337,19 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     A.prepare(spark)
     blobs = spark.sparkContext.broadcast(dictionary(docs, path, pattern, text_col))
     ranks = spark.sparkContext.broadcast(load_ranks(path))
+    latin = latin_pattern(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         known, find = _known(blobs.value), regex.compile(pattern).findall
+        simple = re.compile(latin).findall if latin else find
         get = known.hot.get
         for whole in batches:
             for batch in A.slices(whole, 1, 1 << 20):
                 lists, unknown, words = [], [], []
                 for text in batch.column(1).to_pylist():
-                    found = find(text or "")
+                    found = (simple if _latin(text or "") else find)(text or "")
                     ids = list(map(get, found))
                     at, k = [], -1
                     for _ in range(ids.count(None)):
