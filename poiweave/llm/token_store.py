@@ -3,15 +3,17 @@
 The dictionary is trained on the serialized id arrays of a bounded sample of documents (by id hash; only
 compression depends on it). Every document's ids (little-endian unsigned 16- or 32-bit) become one
 frame of their own, so a short document can be read alone. Frames are dealt by ranges of doc_id and
-sorted, and written as shards: rows of a Parquet table in the shared folder with ``data`` (frames end to
-end), ``offsets`` (one more than documents), ``doc_ids``, ``width`` and ``dictionary`` (its SHA-256).
-A reader checks that hash before it decompresses; ``read_document`` slices one frame.
+sorted, and written as shards: rows of a Parquet table ``shards`` in the store's folder with ``data`` (frames end to
+end), ``offsets`` (one more than documents), ``doc_ids``, ``before`` (ids of the part's earlier shards), ``width`` and
+``dictionary`` (its SHA-256). The dictionary itself lies beside them in the table ``dictionary``, so any process can
+open the folder. A reader checks the hash before it decompresses; ``read_document`` slices one frame.
 
 A text's ids are those of its white-space separated parts end to end (the tokenizer drops white space
 and never merges across it), so each worker keeps the ids of frequent parts in a bounded cache.
 
-Results in odd cases: null and empty texts hold the end id alone; a null doc_id sorts first; rows that
-repeat an id are ordered by their frames; an empty table gives no rows; extra columns are not read.
+Results in odd cases: null and empty texts hold the end id alone; very long texts are one frame, in a shard of their own if
+need be; a null doc_id sorts first; rows that repeat an id are ordered by their frames; an empty table gives no rows; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -21,20 +23,24 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poiweave.llm import arrays as A
-from poiweave.storage import discard, materialise
+from poiweave.storage import discard, drop_at_exit, materialise, new_path
 
 END_ID = 1
 DICTIONARY_BYTES = 65_536
-#: Documents that train the dictionary, about; and the most entries of a worker's cache.
-SAMPLE_DOCUMENTS, CACHE = 1_000, 600_000
+#: Documents that train the dictionary, about, and the most bytes of text that they may bring (more are read in slices of the id hash).
+SAMPLE_DOCUMENTS, SAMPLE_BYTES = 1_000, 16 << 20
+#: The most entries and characters of a worker's cache; beyond either it starts anew.
+CACHE, CACHE_CHARS = 600_000, 16 << 20
 #: A shard closes at this many bytes or documents.
 SHARD_BYTES, SHARD_DOCUMENTS = 8 << 20, 8_192
 LEVEL = 3
@@ -56,6 +62,7 @@ class Encoder:
         self.kind = "<u2" if width == 2 else "<u4"
         self.end = np.array([end_id], self.kind).tobytes()
         self.cache: dict[str, bytes] = {}
+        self.chars = 0
         self.fence = self.tokenizer.token_to_id(_FENCE)
 
     def _encode_parts(self, parts: list[str]) -> None:
@@ -76,13 +83,29 @@ class Encoder:
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         parts = [() if not t else _GAP.split(t) if _KEPT.search(t) else t.split() for t in texts]
-        seen = set().union(*parts)
-        new = seen.difference(self.cache)
-        if len(self.cache) + len(new) > CACHE:
-            self.cache, new = {}, seen
-        self._encode_parts(list(new))
-        get = self.cache.__getitem__
-        return [b"".join([*map(get, x), self.end]) for x in parts]
+        flat = list(chain.from_iterable(parts))
+        ids = list(map(self.cache.get, flat))
+        if unknown := ids.count(None):
+            at, k = [], -1
+            for _ in range(unknown):
+                k = ids.index(None, k + 1)
+                at.append(k)
+            new = {flat[k] for k in at}
+            self.chars += sum(map(len, new))
+            if len(self.cache) + len(new) > CACHE or self.chars > CACHE_CHARS:
+                self.cache, new, at = {}, set(flat), range(len(flat))
+                self.chars = sum(map(len, new))
+            self._encode_parts(list(new))
+            for k in at:
+                ids[k] = self.cache[flat[k]]
+        cuts = [0, *accumulate(map(len, parts))]
+        return [b"".join([*ids[a:b], self.end]) for a, b in zip(cuts, cuts[1:])]
+
+
+@lru_cache(maxsize=1)
+def _shared_encoder(path: str, width: int) -> Encoder:
+    """One encoder for all tasks of a worker process, so that its cache lasts."""
+    return Encoder(path, width)
 
 
 def id_width(path: str) -> int:
@@ -96,10 +119,16 @@ def train_dictionary(docs: DataFrame, path: str, width: int, id_col: str = "doc_
     """A zstandard dictionary from about SAMPLE_DOCUMENTS documents; a plain one where there are too few."""
     import zstandard
 
-    share = SAMPLE_DOCUMENTS / max(1, docs.count())
+    rows, size = docs.agg(F.count("*"), F.sum(F.octet_length(text_col))).first()
+    share = min(SAMPLE_DOCUMENTS / max(1, rows), SAMPLE_BYTES / max(1, size or 0))
     limit = min((1 << 63) - 1, int(share * (1 << 63)))
-    rows = docs.where(F.abs(F.xxhash64(F.col(id_col))) <= F.lit(limit)).select(text_col).limit(2 * SAMPLE_DOCUMENTS).collect()
-    samples = sorted(Encoder(path, width)([r[0] for r in rows]))
+    taken, samples = 0, []
+    for row in docs.where(F.abs(F.xxhash64(F.col(id_col))) <= F.lit(limit)).select(text_col).limit(2 * SAMPLE_DOCUMENTS).toLocalIterator():
+        samples += _shared_encoder(path, width)([row[0]])
+        taken += len(samples[-1])
+        if taken > SAMPLE_BYTES:  # one long text may bring more than its share
+            break
+    samples.sort()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -117,25 +146,26 @@ def _encoder(path: str, width: int, dictionary: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encode, pack = Encoder(path, width), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_content_size=True, write_dict_id=True).compress
-        for batch in batches:
-            ids = encode(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([pack(x) for x in ids], pa.binary())], ["doc_id", "n_tokens", "frame"])
+        encode, pack = _shared_encoder(path, width), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_content_size=True, write_dict_id=True).compress
+        for whole in batches:
+            for batch in A.slices(whole, 1):
+                ids = encode(batch.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(map(pack, ids), pa.binary())], ["doc_id", "n_tokens", "frame"])
 
     return run
 
 
-_SHARD = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_tokens", pa.int64()), ("width", pa.int32()), ("dictionary", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("data", pa.binary())])
+_SHARD = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("width", pa.int32()), ("dictionary", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("data", pa.binary())])
 
 
 def _sharder(width: int, digest: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq = TaskContext.get().partitionId(), 0
+        part, seq, before = TaskContext.get().partitionId(), 0, 0
         ids, frames, tokens, size = [], [], 0, 0
 
         def shard() -> pa.RecordBatch:
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in frames])]).astype(np.int64)
-            return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "n_tokens": tokens, "width": width, "dictionary": digest, "doc_ids": ids, "offsets": offsets, "data": b"".join(frames)}], schema=_SHARD)
+            return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "before": before, "n_tokens": tokens, "width": width, "dictionary": digest, "doc_ids": ids, "offsets": offsets, "data": b"".join(frames)}], schema=_SHARD)
 
         for batch in batches:
             for doc_id, n, frame in zip(*(c.to_pylist() for c in batch.columns)):
@@ -143,25 +173,37 @@ def _sharder(width: int, digest: str):
                 tokens, size = tokens + n, size + len(frame)
                 if size >= SHARD_BYTES or len(ids) >= SHARD_DOCUMENTS:
                     yield shard()
-                    ids, frames, tokens, size, seq = [], [], 0, 0, seq + 1
+                    ids, frames, tokens, size, seq, before = [], [], 0, 0, seq + 1, before + tokens
         if ids:
             yield shard()
 
     return run
 
 
-def write_store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bytes]:
-    """Write all documents; return the table of shards and the dictionary."""
-    A.prepare(docs.sparkSession)
+def write_store(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> str:
+    """Write all documents into a folder (default: a new one in the shared folder) and return it."""
+    spark = docs.sparkSession
+    A.prepare(spark)
+    if own := folder is None:
+        folder = new_path(spark, "token-store")
     width = id_width(path)
     dictionary = train_dictionary(docs, path, width, id_col, text_col)
+    digest = hashlib.sha256(dictionary).hexdigest()
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     frames = materialise(read.mapInArrow(_encoder(path, width, dictionary), "doc_id long, n_tokens long, frame binary"), "frames")
     ordered = frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "frame")
-    shards = ordered.mapInArrow(_sharder(width, hashlib.sha256(dictionary).hexdigest()), "part int, seq int, n_tokens long, width int, dictionary string, doc_ids array<long>, offsets array<long>, data binary")
-    out = materialise(shards, "token-shards")
+    shards = ordered.mapInArrow(_sharder(width, digest), "part int, seq int, before long, n_tokens long, width int, dictionary string, doc_ids array<long>, offsets array<long>, data binary")
+    shards.write.mode("overwrite").parquet(f"{folder}/shards")
+    spark.createDataFrame([(digest, bytearray(dictionary))], "dictionary string, data binary").coalesce(1).write.mode("overwrite").parquet(f"{folder}/dictionary")
+    if own:
+        drop_at_exit(spark, folder)
     discard(frames)
-    return out, dictionary
+    return folder
+
+
+def open_store(spark: SparkSession, folder: str) -> tuple[DataFrame, bytes]:
+    """The table of shards and the dictionary of a store."""
+    return spark.read.parquet(f"{folder}/shards"), bytes(spark.read.parquet(f"{folder}/dictionary").first()["data"])
 
 
 def _opened(dictionary: bytes, digest: str):
@@ -178,16 +220,17 @@ def read_document(shard, at: int, dictionary: bytes) -> np.ndarray:
     return np.frombuffer(_opened(dictionary, shard["dictionary"])(shard["data"][a:b]), "<u2" if shard["width"] == 2 else "<u4")
 
 
-def read_store(shards: DataFrame, dictionary: bytes) -> DataFrame:
+#: Parts up to this many have their starts broadcast (16 bytes each); beyond it the join shuffles.
+BROADCAST_PARTS = 100_000
+
+
+def read_store(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from the shards."""
-    spark = shards.sparkSession
-    # one small row per shard of SHARD_BYTES
-    sizes = sorted((r[0], r[1], r[2]) for r in shards.select("part", "seq", "n_tokens").collect())
-    starts, at = [], 0
-    for part, seq, n in sizes:
-        starts.append((part, seq, at))
-        at += n
-    index = spark.createDataFrame(starts, "p__part int, p__seq int, start long")
+    shards, dictionary = open_store(spark, folder)
+    # one number for each task that wrote shards, however many shards it wrote
+    sizes = shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
+    starts = [0, *accumulate(r["n"] for r in sizes)]
+    index = spark.createDataFrame([(r["part"], at) for r, at in zip(sizes, starts)], "p__part int, p__start long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,12 +244,12 @@ def read_store(shards: DataFrame, dictionary: bytes) -> DataFrame:
                     at += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(shard["doc_ids"], pa.int64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    placed = shards.join(F.broadcast(index), (F.col("part") == F.col("p__part")) & (F.col("seq") == F.col("p__seq")))
-    return placed.select("start", "width", "dictionary", "doc_ids", "offsets", "data").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    placed = shards.join(F.broadcast(index) if len(sizes) <= BROADCAST_PARTS else index, F.col("part") == F.col("p__part"))
+    return placed.select((F.col("p__start") + F.col("before")).alias("start"), "width", "dictionary", "doc_ids", "offsets", "data").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op10_query(spark, sf_dir: str) -> DataFrame:
     """Write every document's ids, read them back."""
     import public_tokenizers
 
-    return read_store(*write_store(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json")))
+    return read_store(spark, write_store(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("word_bpe_49k.json")))
