@@ -86,15 +86,20 @@ def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word, A-Z lower-cased, and the first word of each row (one more entry closes)."""
-    starts, ends, rows = word_bounds(raw, offsets)
+def hashes_of(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of each range of bytes, A-Z lower-cased."""
     if not len(starts):
-        return np.zeros(0, np.uint64), rows
+        return np.zeros(0, np.uint64)
     up, down = _power(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum((_LOWERED if lower else _VALUES)[raw] * up[: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), rows
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word, A-Z lower-cased, and the first word of each row (one more entry closes)."""
+    starts, ends, rows = word_bounds(raw, offsets)
+    return hashes_of(raw, starts, ends, lower), rows
 
 
 def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -218,11 +219,43 @@ def latin_pattern(pattern: str) -> str | None:
     return out
 
 
+def _splitter(pattern: str, latin: str | None):
+    """A function that gives the matches of the pattern in a text."""
+    import regex
+
+    find = regex.compile(pattern).findall
+    simple = re.compile(latin).findall if latin else find
+    return lambda text: (simple if _latin(text) else find)(text)
+
+
+#: Distinct words that a task counts before it hands them on.
+COUNTED = 400_000
+
+
 def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
-    """(word, n) of every distinct match of the pattern in the corpus. Java's idea of white space may split a few texts in another way than
-    the workers do; their words then are no dictionary words, with the same ids."""
-    words = F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))
-    return docs.select(F.explode(words).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    """(word, n) of every distinct match of the pattern in the corpus."""
+    latin = latin_pattern(pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, seen = _splitter(pattern, latin), Counter()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            words = list(seen)
+            for a in range(0, len(words), 1 << 16):
+                some = words[a : a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array(map(seen.__getitem__, some), pa.int64())], ["word", "n"])
+            seen.clear()
+
+        for whole in batches:
+            for batch in A.slices(whole, 0, 1 << 20):
+                for text in batch.column(0).to_pylist():
+                    if text:
+                        seen.update(split(text))
+                if len(seen) > COUNTED:
+                    yield from rows()
+        yield from rows()
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY, limit_bytes: int = DICTIONARY_BYTES, hot: int = HOT_WORDS) -> list[bytes]:
@@ -340,16 +373,13 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     latin = latin_pattern(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        known, find = _known(blobs.value), regex.compile(pattern).findall
-        simple = re.compile(latin).findall if latin else find
+        known, split = _known(blobs.value), _splitter(pattern, latin)
         get = known.hot.get
         for whole in batches:
             for batch in A.slices(whole, 1, 1 << 20):
                 lists, unknown, words = [], [], []
                 for text in batch.column(1).to_pylist():
-                    found = (simple if _latin(text or "") else find)(text or "")
+                    found = split(text or "")
                     ids = list(map(get, found))
                     at, k = [], -1
                     for _ in range(ids.count(None)):

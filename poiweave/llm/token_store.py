@@ -9,7 +9,8 @@ end), ``offsets`` (one more than documents), ``doc_ids``, ``before`` (ids of the
 open the folder. A reader checks the hash before it decompresses; ``read_document`` slices one frame.
 
 A text's ids are those of its white-space separated parts end to end (the tokenizer drops white space
-and never merges across it), so each worker keeps the ids of frequent parts in a bounded cache.
+and never merges across it). Array operations lower-case texts as the tokenizer does, cut marks off the ends of words, where it
+cuts too, find the distinct parts of some texts and put their ids together; each worker keeps the ids of parts in a bounded cache.
 
 Results in odd cases: null and empty texts hold the end id alone; very long texts are one frame, in a shard of their own if
 need be; a null doc_id sorts first; rows that repeat an id are ordered by their frames; an empty table gives no rows; extra
@@ -20,11 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,16 +39,45 @@ END_ID = 1
 DICTIONARY_BYTES = 65_536
 #: Documents that train the dictionary, about, and the most bytes of text that they may bring (more are read in slices of the id hash).
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 1_000, 16 << 20
-#: The most entries and characters of a worker's cache; beyond either it starts anew.
-CACHE, CACHE_CHARS = 600_000, 16 << 20
+#: The most entries and bytes of a worker's cache; beyond either it starts anew with the parts at hand.
+CACHE, CACHE_BYTES = 1_200_000, 20 << 20
+#: Bytes of texts whose parts are looked up together.
+SLICE_BYTES = 2 << 20
 #: A shard closes at this many bytes or documents.
 SHARD_BYTES, SHARD_DOCUMENTS = 8 << 20, 8_192
 LEVEL = 3
-#: str.split() also splits at these, which the tokenizer keeps; texts with them are split at plain gaps.
-_KEPT = re.compile(r"[\x1c-\x1f]")
-_GAP = re.compile(r"[\x20\t\n\r]+")
-#: Parts to encode are sent together, this special token between them.
+#: Parts to encode are sent together: words between blanks, others with this special token between them.
 _FENCE = "<|startoftext|>"
+_WORD_END = "</w>"
+_CASE, _MARK, _ALNUM = np.arange(256, dtype=np.uint8), np.zeros(256, bool), np.zeros(256, bool)
+_CASE[65:91] += 32
+_MARK[list(b".,;:!?")] = True
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+
+
+def _simplified(raw: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and the capitals of U+00C0 to U+00DE in lower case."""
+    out = _CASE[raw]
+    two = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    two = two[(raw[two] <= 0x9E) & (raw[two] != 0x97)]
+    out[two] += 32
+    return out
+
+
+def _without_marks(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, with marks behind a letter or figure as words of their own."""
+    cut = ends.copy()
+    todo = np.arange(len(cut))
+    while len(todo := todo[_MARK[raw[cut[todo] - 1]] & (cut[todo] - 1 > starts[todo])]):
+        cut[todo] -= 1
+    last, before = raw[cut - 1], raw[np.maximum(cut - 2, 0)]
+    letter = _ALNUM[last] | ((before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7))
+    split = (cut < ends) & letter
+    number = 1 + split
+    first = np.cumsum(number) - number
+    starts, ends = np.repeat(starts, number), np.repeat(ends, number)
+    ends[first[split]] = starts[first[split] + 1] = cut[split]
+    return starts, ends, np.concatenate([[0], np.cumsum(number)])[rows]
 
 
 class Encoder:
@@ -59,47 +88,77 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if width == 2 else "<u4"
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.cache: dict[str, bytes] = {}
-        self.chars = 0
+        self.kind, self.end = np.dtype("<u2" if width == 2 else "<u4"), end_id
+        self.cache: dict[bytes, bytes] = {}
+        self.size = 0
         self.fence = self.tokenizer.token_to_id(_FENCE)
-
-    def _encode_parts(self, parts: list[str]) -> None:
-        """Put the ids of parts into the cache."""
-        fenced = [p for p in parts if "<|" not in p] if self.fence is not None else []
-        alone = parts if self.fence is None else [p for p in parts if "<|" in p]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _keep(self, keys: list[bytes], ids: np.ndarray, starts: list[int], stops: list[int]) -> None:
+        data, size = ids.tobytes(), self.kind.itemsize
+        self.cache.update(zip(keys, [data[a * size : b * size] for a, b in zip(starts, stops)]))
+
+    def _learn(self, keys: list[bytes]) -> None:
+        """Put the ids of parts into the cache. A word of letters is at least one piece for the tokenizer, and each piece has
+        one id that ends it; so ids of many words are told apart, if there are as many ends as words."""
+        parts = [k.decode() for k in keys]
+        words, fenced, alone = [], [], []
+        by_ends = bool(self.ends.any())
+        for pair in zip(keys, parts):
+            (words if by_ends and pair[1].isalpha() else alone if self.fence is None or "<|" in pair[1] else fenced).append(pair)
+        groups = [words[i : i + 256] for i in range(0, len(words), 256)]
+        for group, ids in zip(groups, self._encoded([" ".join([part for _, part in g]) for g in groups])):
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stops) == len(group):
+                self._keep([k for k, _ in group], ids, [0, *stops], stops)
+            else:  # a letter that the tokenizer takes apart
+                alone += group
         groups = [fenced[i : i + 256] for i in range(0, len(fenced), 256)]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([_FENCE.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(found.ids, self.kind)
+        for group, ids in zip(groups, self._encoded([_FENCE.join(part for _, part in g) for g in groups])):
             at = np.flatnonzero(ids == self.fence)
             if len(at) != len(group) - 1:
                 raise ValueError("a part holds the fence")
-            data, size = ids.tobytes(), ids.itemsize
-            for part, a, b in zip(group, [0, *((at + 1) * size).tolist()], [*(at * size).tolist(), len(data)]):
-                self.cache[part] = data[a:b]
-        for part, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.cache[part] = np.array(found.ids, self.kind).tobytes()
+            self._keep([k for k, _ in group], ids, [0, *(at + 1).tolist()], [*at.tolist(), len(ids)])
+        for (key, _), ids in zip(alone, self._encoded([part for _, part in alone])):
+            self.cache[key] = ids.tobytes()
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """The ids of the texts of a column."""
+        raw, offsets = A.strings(column)
+        starts, ends, rows = A.word_bounds(raw, offsets)
+        if len(starts) and b"<|" not in raw.tobytes():  # else perhaps a special token, which has one spelling
+            raw = _simplified(raw)
+            starts, ends, rows = _without_marks(raw, starts, ends, rows)
+        _, first, place = np.unique(A.hashes_of(raw, starts, ends, lower=False), return_index=True, return_inverse=True)
+        data = raw.tobytes()
+        keys = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        ids = list(map(self.cache.get, keys))
+        if ids.count(None):
+            new = [k for k, x in zip(keys, ids) if x is None]
+            if len(self.cache) + len(new) > CACHE or self.size + sum(map(len, new)) > CACHE_BYTES:
+                self.cache, self.size, new = {}, 0, keys
+            self.size += sum(map(len, new))
+            self._learn(new)
+            ids = list(map(self.cache.__getitem__, keys))
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        at = np.cumsum(size) - size
+        each = size[place]  # ids of every part, then where they begin among those of all parts
+        done = np.concatenate([[0], np.cumsum(each)])
+        where = np.repeat(at[place] - done[:-1], each) + np.arange(done[-1])
+        stop = done[rows[1:]] + np.arange(1, len(offsets))
+        out, inner = np.full(stop[-1] if len(stop) else 0, self.end, self.kind), np.ones(stop[-1] if len(stop) else 0, bool)
+        inner[stop - 1] = False
+        out[inner] = flat[where]
+        return [out[a:b].tobytes() for a, b in zip([0, *stop.tolist()], stop.tolist())]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [() if not t else _GAP.split(t) if _KEPT.search(t) else t.split() for t in texts]
-        flat = list(chain.from_iterable(parts))
-        ids = list(map(self.cache.get, flat))
-        if unknown := ids.count(None):
-            at, k = [], -1
-            for _ in range(unknown):
-                k = ids.index(None, k + 1)
-                at.append(k)
-            new = {flat[k] for k in at}
-            self.chars += sum(map(len, new))
-            if len(self.cache) + len(new) > CACHE or self.chars > CACHE_CHARS:
-                self.cache, new, at = {}, set(flat), range(len(flat))
-                self.chars = sum(map(len, new))
-            self._encode_parts(list(new))
-            for k in at:
-                ids[k] = self.cache[flat[k]]
-        cuts = [0, *accumulate(map(len, parts))]
-        return [b"".join([*ids[a:b], self.end]) for a, b in zip(cuts, cuts[1:])]
+        return self.encode(pa.array(texts, pa.string()))
 
 
 @lru_cache(maxsize=1)
@@ -146,10 +205,10 @@ def _encoder(path: str, width: int, dictionary: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encode, pack = _shared_encoder(path, width), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_content_size=True, write_dict_id=True).compress
+        encode, pack = _shared_encoder(path, width).encode, zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_content_size=True, write_dict_id=True).compress
         for whole in batches:
-            for batch in A.slices(whole, 1):
-                ids = encode(batch.column(1).to_pylist())
+            for batch in A.slices(whole, 1, SLICE_BYTES):
+                ids = encode(batch.column(1))
                 yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(map(pack, ids), pa.binary())], ["doc_id", "n_tokens", "frame"])
 
     return run
