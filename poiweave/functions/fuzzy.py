@@ -118,11 +118,11 @@ def is_areal(a: Column) -> Column:
 
 @F.pandas_udf(ArrayType(StringType()))
 def top_distinct(texts: pd.Series) -> pd.Series:
-    """Of each list, longest first (stable), the first two that are below 90 against all taken so far."""
+    """Of each list, longest first (ties by text), the first two that are below 90 against all taken so far."""
 
     def pick(values) -> list[str]:
         out: list[str] = []
-        for t in sorted((v for v in values if v), key=len, reverse=True):
+        for t in sorted((v for v in values if v), key=lambda t: (-len(t), t)):
             if all(token_set_of(t, o) < 90 for o in out):
                 out.append(t)
                 if len(out) == 2:

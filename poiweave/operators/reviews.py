@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from poiweave.functions import fuzzy, ids, text
 from poiweave.operators import spatial
+from poiweave.schemas import require_columns
 from poiweave.session import ship_package
 
 
@@ -32,14 +33,25 @@ def export_place_reviews(reviews: DataFrame, places: DataFrame, source: str) ->
     )
 
 
+def distinct_texts(rows: DataFrame, key: list[str], column: str, k: int = 2, limit: float = 90.0) -> DataFrame:
+    """Per key at most ``k`` texts (``idx``, the column): the longest, then each time the longest whose token-set ratio to all taken so far is
+    below ``limit``; ties by text. Every round is an aggregate and a join, so the texts of one key never meet in one task."""
+    ship_package(rows.sparkSession)
+    left, out = rows.where(F.length(column) > 0).select(*key, column), None
+    for idx in range(k):
+        best = left.groupBy(*key).agg(F.min_by(column, F.struct((-F.length(column)).alias("n"), F.col(column).alias("t"))).alias("p__best"))
+        taken = best.select(*key, F.lit(idx).alias("idx"), F.col("p__best").alias(column))
+        out = taken if out is None else out.unionAll(taken)
+        left = left.join(best, key).where(fuzzy.token_set_ratio(column, "p__best") < limit).drop("p__best")
+    return out
+
+
 def guide_reviews(places: DataFrame) -> DataFrame:
     """Pseudo-reviews of guide places: the description, else name and address; per place the two most distinct texts."""
-    ship_package(places.sparkSession)
     described = F.col("desc") if "desc" in places.columns else F.lit(None).cast("string")
-    body = F.coalesce(text.null_if_blank(F.substring(described, 1, 1200)), text.fallback_text(F.col("name"), F.col("address")))
-    listed = places.where("source = 'wikivoyage'").select("place_id", "city_slug", text.clean_wiki_text(body).alias("t")).where("trim(t) <> ''")
-    grouped = listed.groupBy("place_id", "city_slug").agg(F.collect_list("t").alias("texts"))
-    out = grouped.select("place_id", "city_slug", F.posexplode(fuzzy.top_distinct("texts")).alias("idx", "text"))
+    body = F.coalesce(F.substring(text.clean_wiki_text(described), 1, 1200), text.fallback_text(F.col("name"), F.col("address")))
+    listed = places.where("source = 'wikivoyage'").select("place_id", "city_slug", text.clean_wiki_text(body).alias("text")).where("trim(text) <> ''")
+    out = distinct_texts(listed, ["place_id", "city_slug"], "text")
     return out.select(ids.sha1_id(F.col("place_id"), F.col("text")).alias("review_id"), F.lit("wikivoyage").alias("source"), "place_id", F.lit(None).cast("double").alias("rating"), "text", F.lit(None).cast("string").alias("scraped_at"), "city_slug")
 
 
@@ -72,6 +84,25 @@ def reviews_near_places(reviews: DataFrame, near: DataFrame) -> DataFrame:
     return reviews.join(once, "listing_id").select("review_id", "n.place_id", "n.city_slug")
 
 
+def stage_rental_reviews(raw: DataFrame, listings: DataFrame) -> DataFrame:
+    """review_id, listing_id, date, text, reviewer_id, reviewer_name, city_slug of raw rental reviews whose listing is known."""
+    require_columns(raw, ["listing_id", "id", "date", "reviewer_id", "reviewer_name", "comments"], "rental reviews")
+    own = listings.groupBy("listing_id").agg(F.min("city_slug").alias("city_slug"))
+    out = raw.select(F.col("id").cast("string").alias("review_id"), text.canonical_id(F.col("listing_id").cast("string")).alias("listing_id"), "date", F.col("comments").alias("text"), F.col("reviewer_id").cast("string").alias("reviewer_id"), "reviewer_name")
+    return out.join(own, "listing_id").select("review_id", "listing_id", "date", "text", "reviewer_id", "reviewer_name", "city_slug")
+
+
+def place_index(rows: DataFrame, order: str) -> DataFrame:
+    """place_id and city_slug of places, under any of their usual column names; rows without either go, of repeated ids the last counts."""
+    names = {c.lower(): c for c in rows.columns}
+    pick = lambda *options: next((F.col(names[o]) for o in options if o in names), None)
+    place, city = pick("place_id", "id", "source_place_id"), pick("city_slug", "city", "slug")
+    if place is None or city is None:
+        raise ValueError("places lack an id or a city column")
+    known = rows.select(text.null_if_blank(place.cast("string")).alias("place_id"), text.null_if_blank(city.cast("string")).alias("city_slug"), F.col(order).alias("p__order"))
+    return last_per_key(known.where("city_slug is not null"), "place_id", "p__order").drop("p__order")
+
+
 def orphans(reviews: DataFrame, listings: DataFrame) -> DataFrame:
     """Reviews whose listing is unknown."""
     return reviews.join(listings.select("listing_id").distinct(), "listing_id", "left_anti")

@@ -33,7 +33,8 @@ def assign_city(points: DataFrame, cities: DataFrame, key: str, cell: float = 0.
     """Add ``city_slug``: first polygon in config order, else first bbox, else nearest centre within its radius.
 
     Cities are dealt to the grid cells of their reach and met by an equi-join on the cell, so a point is
-    tested only against cities near it. Points without coordinates or match get null.
+    tested only against cities near it. Points without coordinates or match get null; rows that share a key but not their
+    coordinates are judged apart.
     """
     c = city_reach(cities).where("reach_s is not null and reach_w is not null")
     span = lambda a, b: F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell))
@@ -46,8 +47,9 @@ def assign_city(points: DataFrame, cities: DataFrame, key: str, cell: float = 0.
     tier = F.when(geo.in_polygon(lat, lon, F.col("c.polygon")), 1).when(geo.in_box(lat, lon, *box), 2).when(metres <= F.col("c.radius_km") * 1000, 3)
     hit = p.join(small(c), ["cell_y", "cell_x"]).withColumn("tier", tier).where("tier is not null")
     order = F.struct("tier", F.when(F.col("tier") == 3, metres).otherwise(F.lit(0.0)).alias("m"), F.col("c.pos").alias("pos"))
-    best = hit.groupBy("p__key").agg(F.min_by("c.slug", order).alias("city_slug"))
-    return points.join(best, F.col(key) == F.col("p__key"), "left").drop("p__key")
+    best = hit.groupBy("p__key", F.col("lat").alias("p__lat"), F.col("lon").alias("p__lon")).agg(F.min_by("c.slug", order).alias("city_slug"))
+    same = (F.col(key) == F.col("p__key")) & (F.col("lat") == F.col("p__lat")) & (F.col("lon") == F.col("p__lon"))
+    return points.join(best, same, "left").drop("p__key", "p__lat", "p__lon")
 
 
 def geometry_guard(points: DataFrame, cities: DataFrame) -> DataFrame:
@@ -89,12 +91,13 @@ def _steps(metres: float) -> tuple[float, Column]:
     return metres / 111_320.0 * 1.01, F.lit(metres * 360.0 / 40_075_000.0 * 1.01)
 
 
-def near_pairs(left: DataFrame, right: DataFrame, metres: float, group: str = "city_slug", at_left: bool = False, lat_cap: float = 85.0) -> DataFrame:
+def near_pairs(left: DataFrame, right: DataFrame, metres: float, group: str = "city_slug", at_left: bool = False, lat_cap: float = 89.9) -> DataFrame:
     """Pairs (l: struct of left, r: struct of right, meters) of one group within ``metres``.
 
     Both sides fall into cells at least ``metres`` wide (longitude scaled by the left row's band of
     latitude); the right side is dealt to the nine cells around it, so one equi-join finds every pair
-    once. Grouping by cell also splits a dense city over many tasks; AQE splits a dense cell.
+    once. Grouping by cell also splits a dense city over many tasks; AQE splits a dense cell. Nearer to a pole than ``lat_cap``
+    cells no longer widen, so pairs there that are far apart in longitude can be missed.
     """
     up, side = _steps(metres)
     # all rows of a latitude row share one cell width, taken at the row's far edge, so neighbours agree

@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from poiweave.functions import geo, ids, text
 from poiweave.functions.text import AREAL_WORDS, GENERIC_WORDS, STOP_WORDS
 from poiweave.operators import diagnostics, graph, listings, resolve, reviews, spatial
+from poiweave.sources import wikidump
 from poiweave.storage import materialise
 
 FIXTURES = {
@@ -108,8 +109,15 @@ def _token_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return places, resolve.place_links(places, fuzzy_score=False, ascii_names=True)
 
 
+_RESOLVED: dict[tuple, DataFrame] = {}
+
+
 def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.canonical_places(*_token_links(spark, sf_dir))
+    """The resolved places of a folder, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RESOLVED:
+        _RESOLVED[key] = materialise(resolve.canonical_places(*_token_links(spark, sf_dir)), "canonical")
+    return _RESOLVED[key]
 
 
 def _near(spark: SparkSession, sf_dir: str, metres: float = 60.0) -> DataFrame:
@@ -175,7 +183,7 @@ def bbox_buffer_filter(spark, sf_dir):
 def haversine_city_center(spark, sf_dir):
     """Distance to the city's centre, and whether it exceeds one kilometre."""
     c = cities(spark, sf_dir)
-    far = spatial.too_far(fixture(spark, sf_dir, "fx_place"), c, 1.0).join(F.broadcast(c.select("slug", F.col("lat").alias("y"), F.col("lon").alias("x"))), F.col("city_slug") == F.col("slug"))
+    far = spatial.too_far(fixture(spark, sf_dir, "fx_place"), c, 1.0).join(spatial.small(c.select("slug", F.col("lat").alias("y"), F.col("lon").alias("x"))), F.col("city_slug") == F.col("slug"))
     return far.select("place_id", F.round(geo.haversine_m(F.col("lat"), F.col("lon"), F.col("y"), F.col("x")), 3).alias("meters"), "too_far")
 
 
@@ -319,7 +327,7 @@ pop as (select *, 0.6 * z_ln + 0.4 * z_rc as pz from z)"""
   case when pz >= 1 then 'high' when pz >= 0 then 'medium' else 'low' end as popularity_flag from pop""")
 def popularity_blended(spark, sf_dir):
     """Listings nearby and reviews as z-scores per city, blended and flagged."""
-    c = materialise(_canonical(spark, sf_dir), "canonical")
+    c = _canonical(spark, sf_dir)
     p = graph.popularity(graph.canonical_nodes(c), _near(spark, sf_dir), c, fixture(spark, sf_dir, "fx_place_review"))
     r = lambda x: F.round(x, 6).alias(x)
     return p.select("canonical_id", "city_slug", "listings_nearby", "reviews_count", r("z_ln"), r("z_rc"), r("popularity_z"), "popularity_flag")
@@ -331,7 +339,7 @@ q as (select id, string_agg(source || ':' || left(text, 220), '|' order by revie
 select pop.id as canonical_id, name, coalesce(wv, '') as wv, coalesce(quotes, '') as quotes, round(pz, 6) as popularity_z from pop left join w on w.id = pop.id left join q on q.id = pop.id""")
 def poi_cards(spark, sf_dir):
     """Cards with two guide texts and four quotes."""
-    c = materialise(_canonical(spark, sf_dir), "canonical")
+    c = _canonical(spark, sf_dir)
     r = fixture(spark, sf_dir, "fx_place_review")
     cards = graph.poi_cards(graph.popularity(graph.canonical_nodes(c), _near(spark, sf_dir), c, r), r, c)
     quotes = F.array_join(F.transform("quotes", lambda q: F.concat(q["source"], F.lit(":"), q["txt"])), "|")
@@ -396,7 +404,7 @@ def rating_summary_top15(spark, sf_dir):
 def places_per_city(spark, sf_dir):
     """Places per city with its name."""
     n = diagnostics.value_counts(fixture(spark, sf_dir, "fx_place"), "city_slug", 15)
-    return n.join(F.broadcast(fixture(spark, sf_dir, "fx_city").select("slug", "name")), F.col("city_slug") == F.col("slug"), "left").select("city_slug", F.coalesce("name", "city_slug").alias("city_name"), "n")
+    return n.join(spatial.small(fixture(spark, sf_dir, "fx_city").select("slug", "name")), F.col("city_slug") == F.col("slug"), "left").select("city_slug", F.coalesce("name", "city_slug").alias("city_name"), "n")
 
 
 @query("select least(floor((l_quantity - lo) / ((hi - lo) / 10)), 9)::int as bin, count(*) as n from lineitem, (select min(l_quantity) as lo, max(l_quantity) as hi from lineitem) group by 1")
@@ -421,16 +429,182 @@ def text_and_ids(spark, sf_dir):
 
 @query()
 def distinct_snippets(spark, sf_dir):
-    """The two most distinct texts of every conversation (tested on goldens)."""
-    from poiweave.functions import fuzzy
-    from poiweave.session import ship_package
-
-    ship_package(spark)
-    grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list("text").alias("texts"))
-    return grouped.select("conv_id", fuzzy.top_distinct("texts").alias("snippets"))
+    """The two most distinct texts of every conversation (tested against brute force: SQL has no token-set ratio)."""
+    return reviews.distinct_texts(table(spark, sf_dir, "conversations"), ["conv_id"], "text")
 
 
 @query(with_fixtures("fx_listing", "fx_place") + f""" select city_slug, count(*) as n from fx_listing l where exists (select 1 from fx_place p where p.city_slug = l.city_slug and {_NEAR} <= 300) group by 1""")
 def listings_near_any_place(spark, sf_dir):
     """Listings per city that have a place within 300 m."""
     return _near(spark, sf_dir, 300.0).groupBy("city_slug").agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- further operators
+
+
+@query(with_fixtures("fx_city", "fx_place") + f""", hit as (select place_id, slug, {_HAV.format(a="p.lat", b="p.lon", c="c_lat", d="c_lon")} as m, pos from fx_place p, fx_city)
+select p.place_id, (select slug from hit h where h.place_id = p.place_id and m <= 1000 order by m, pos limit 1) as city_slug from fx_place p""")
+def assign_city_radius(spark, sf_dir):
+    """The nearest centre within its radius, for cities without box and polygon."""
+    c = cities(spark, sf_dir).withColumn("bbox", F.lit(None).cast("array<double>"))
+    return spatial.assign_city(fixture(spark, sf_dir, "fx_place").drop("city_slug"), c, "place_id").select("place_id", "city_slug")
+
+
+@query(with_fixtures("fx_place_review", "fx_place") + " select r.review_id, r.place_id, r.source from fx_place_review r semi join (select place_id from fx_place where ord % 3 <> 0) p on p.place_id = r.place_id where trim(r.text) <> ''")
+def reviews_valid_semi(spark, sf_dir):
+    """Reviews with a text whose place is known."""
+    known = fixture(spark, sf_dir, "fx_place").where("ord % 3 <> 0")
+    return graph.valid_reviews(fixture(spark, sf_dir, "fx_place_review"), known).select("review_id", "place_id", "source")
+
+
+@query(with_fixtures("fx_place_review", "fx_place") + f""" select {_ID.format("r.place_id", "scraped_at", "left(text, 512)")} as review_id, r.source, r.place_id, rating::double as rating, text, scraped_at, city_slug from fx_place_review r join fx_place p on p.place_id = r.place_id where r.source in ('yelp', 'reddit')
+union all select sha1(place_id || chr(31) || t || chr(31)), 'wikivoyage', place_id, null, t, null, city_slug from (select place_id, city_slug, name || ' – ' || address as t from fx_place where source = 'wikivoyage')""")
+def reviews_union_sources(spark, sf_dir):
+    """Reviews of all three sources in one table; guide places speak by their name and address."""
+    r, places = fixture(spark, sf_dir, "fx_place_review"), fixture(spark, sf_dir, "fx_place")
+    parts = [reviews.export_place_reviews(r.where(F.col("source") == k).select("place_id", "rating", "text", "scraped_at"), places, k) for k in ("yelp", "reddit")]
+    return parts[0].unionByName(parts[1]).unionByName(reviews.guide_reviews(places))
+
+
+@query("select conv_id, k as rank, text from (select conv_id, text, row_number() over (partition by conv_id order by length(text) desc, text) as k from (select distinct conv_id, text from conversations)) where k <= 2")
+def topk_longest_snippets(spark, sf_dir):
+    """The two longest texts of every conversation."""
+    w = Window.partitionBy("conv_id").orderBy(F.desc(F.length("text")), "text")
+    d = table(spark, sf_dir, "conversations").select("conv_id", "text").distinct()
+    return d.withColumn("rank", F.row_number().over(w)).where("rank <= 2").select("conv_id", "rank", "text")
+
+
+@query("select c_nationkey::varchar as host_id, arg_min(c_name, c_custkey) as host_name, case arg_min(c_custkey, c_custkey) % 3 when 0 then 't' else 'f' end as host_is_superhost from customer group by 1")
+def host_first_distinct(spark, sf_dir):
+    """One row per host, the first."""
+    raw = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.col("c_nationkey").cast("string"), F.lit(".0")).alias("host_id"), F.col("c_name").alias("host_name"), F.when(F.col("c_custkey") % 3 == 0, "t").otherwise("f").alias("host_is_superhost"))
+    return listings.hosts(raw).select("host_id", "host_name", "host_is_superhost")
+
+
+_TITLE = "case p_partkey % 5 when 0 then p_name || '/Old Town' when 1 then p_name || ' (town)' when 2 then p_name || ' district' when 3 then upper(p_name) || '-region' else '  ' || p_name || ' ' end"
+
+
+@query(f"""with t as (select p_partkey, trim(lower({_TITLE})) as t from part),
+o as (select p_partkey, [t, trim(string_split(t, '/')[1]), trim(regexp_replace(t, '\\s*\\([^)]*\\)\\s*$', '')), trim(regexp_replace(t, '\\b(district|province|region|prefecture|county)$', ''))] as xs from t)
+select p_partkey, array_to_string(list_sort(list_distinct(list_filter(xs, lambda x: x <> ''))), '|') as candidates from o""")
+def title_candidates(spark, sf_dir):
+    """Keys under which a guide title may be known."""
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.array_sort(text.title_candidates(F.expr(_TITLE))), "|").alias("candidates"))
+
+
+_PAGE = """'Intro [[x]] {{' || case p_size % 4 when 0 then 'see' when 1 then ' Eat ' when 2 then 'unknown' else 'sleep' end || '|name=' || case when p_partkey % 10 = 0 then '' else p_name end || ' | lat=' || cast(40 + p_partkey % 45 as integer) || '.5N|long=-' || cast(p_partkey % 180 as integer)
+  || '.25|' || case when p_partkey % 4 = 0 then 'addr=' || p_brand else 'directions=near ' || p_type end || '|content= The ' || p_name || ' itself }} {{do|name=Nowhere}} {{marker|title=M' || p_partkey || '|lat=1|lon=2}} text'"""
+
+
+@query(f"""with pages as (select p_partkey, 'Page ' || p_partkey as title, {_PAGE} as t, lower(trim(regexp_extract({_PAGE}, '\\{{\\{{([^|]*)\\|', 1))) as kind from part)
+select title, kind as type, trim(regexp_extract(t, 'name=([^|]*?) \\|', 1)) as name, regexp_extract(t, 'lat=([0-9.]+)', 1)::double as lat, regexp_extract(t, 'long=(-[0-9.]+)', 1)::double as lon, regexp_extract(t, '(?:addr|directions)=([^|]*)', 1) as address, trim(regexp_extract(t, 'content=([^}}]*)', 1)) as "desc"
+  from pages where kind <> 'unknown' and regexp_extract(t, 'name=([^|]*?) \\|', 1) <> ''
+union all select title, 'marker', 'M' || p_partkey, 1.0, 2.0, '', '' from pages""")
+def wikitext_listings(spark, sf_dir):
+    """Places listed in wiki markup: name, coordinates, address and text of listing templates that have them."""
+    pages = table(spark, sf_dir, "part").select(F.concat(F.lit("Page "), "p_partkey").alias("title"), F.expr(_PAGE).alias("wikitext"))
+    return wikidump.listings_of(pages).select(F.col("city_hint").alias("title"), "type", "name", "lat", "lon", F.coalesce("address", F.lit("")).alias("address"), F.coalesce("desc", F.lit("")).alias("desc"))
+
+
+@query("""select page_id, href, count(*) as n from (select page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) as href from pages) group by 1, 2""")
+def html_links_extract(spark, sf_dir):
+    """Targets of the links of every page, with their number."""
+    links = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).alias("href"))
+    return links.groupBy("page_id", "href").agg(F.count("*").alias("n"))
+
+
+@query(_POP + """ select id as canonical_id, city_slug, ln as listings_nearby, round(z_ln, 6) as z_ln, case when round(z_ln, 9) >= 1 then 'high' when round(z_ln, 9) >= 0 then 'medium' else 'low' end as listings_flag from pop""")
+def popularity_listings_z(spark, sf_dir):
+    """Listings nearby as z-scores per city, flagged."""
+    c = _canonical(spark, sf_dir)
+    p = graph.popularity(graph.canonical_nodes(c), _near(spark, sf_dir), c, fixture(spark, sf_dir, "fx_place_review"))
+    return p.select("canonical_id", "city_slug", "listings_nearby", F.round("z_ln", 6).alias("z_ln"), "listings_flag")
+
+
+@query(_ER + """, rest as (select s.* from scored s anti join links l on l.ord_a = s.ord_a and l.ord_b = s.ord_b where s.m <= 120 and s.src_a = s.src_b and s.cj >= 0.50)
+select 'weak_far' as report, a, b, round(cj, 6) as name_sim, round(m, 3) as meters from rest where m >= 50 union all select 'low_sim', a, b, round(cj, 6), round(m, 3) from rest where cj < 0.25""")
+def spotcheck_weak_far(spark, sf_dir):
+    """Suspicious pairs of one source: far apart, and (none) hardly similar."""
+    risky = resolve.risky_pairs(*_token_links(spark, sf_dir))
+    parts = [f(risky).select(F.lit(k).alias("report"), "a", "b", F.round("name_sim", 6).alias("name_sim"), F.round("meters", 3).alias("meters")) for k, f in (("weak_far", resolve.weak_far), ("low_sim", resolve.low_similarity))]
+    return parts[0].unionAll(parts[1])
+
+
+_PLACED = _VAR.replace("with recursive ", with_fixtures("fx_listing_review") + ", ", 1) + f""", pos as (select place_canonical_id as id, city_slug, coalesce(avg(lat) filter (source = 'yelp'), avg(lat) filter (source = 'wikivoyage'), avg(lat) filter (source = 'reddit')) as lat,
+  coalesce(avg(lon) filter (source = 'yelp'), avg(lon) filter (source = 'wikivoyage'), avg(lon) filter (source = 'reddit')) as lon from canon where place_canonical_id is not null group by 1, 2),
+hop as (select l.listing_id, p.id, {_HAV.format(a="l.lat", b="l.lon", c="p.lat", d="p.lon").replace("6371000.0", "6378140.0")} as m from fx_listing l join pos p on p.city_slug = l.city_slug where abs(l.lat - p.lat) < 0.0005)"""
+
+
+@query(_PLACED + " select r.review_id, (select id from hop h where h.listing_id = r.listing_id and m <= 40 order by m, id limit 1) as canonical_id from fx_listing_review r where exists (select 1 from hop h where h.listing_id = r.listing_id and m <= 40)")
+def listing_nearest_canonical(spark, sf_dir):
+    """Rental reviews by the canonical place nearest to their listing, within 40 m."""
+    return graph.reviews_by_radius(fixture(spark, sf_dir, "fx_listing_review"), fixture(spark, sf_dir, "fx_listing"), graph.canonical_coordinates(_canonical(spark, sf_dir)), 40.0)
+
+
+@query(_PLACED + ", " + _NEAR_SQL.replace("<= 60", "<= 30") + """, via as (select n.listing_id, c.place_canonical_id as id, n.meters from near_p n join canon c on c.place_id = n.place_id where n.listing_id <> 'L7'),
+s1 as (select r.review_id, v.id from fx_listing_review r join via v on v.listing_id = r.listing_id where v.meters <= 10),
+s2 as (select r.review_id, (select id from hop h where h.listing_id = r.listing_id and m <= 8 order by m, id limit 1) as id from fx_listing_review r where r.review_id not in (select review_id from s1)),
+s3 as (select r.review_id, v.id from fx_listing_review r join via v on v.listing_id = r.listing_id where v.meters <= 20 and r.review_id not in (select review_id from s1) and r.review_id not in (select review_id from s2 where id is not null)),
+s4 as (select r.review_id, (select id from hop h where h.listing_id = r.listing_id and m <= 25 order by m, id limit 1) as id from fx_listing_review r where r.review_id not in (select review_id from s1 union all select review_id from s2 where id is not null union all select review_id from s3))
+select review_id, id as canonical_id from s1 union all select * from s2 where id is not null union all select * from s3 union all select * from s4 where id is not null""")
+def rental_reviews_linked(spark, sf_dir):
+    """Rental reviews by near place, else by nearest canonical place, then the rest with wider limits."""
+    c, l = _canonical(spark, sf_dir), fixture(spark, sf_dir, "fx_listing")
+    near = _near(spark, sf_dir, 30.0).where("listing_id <> 'L7'")
+    return graph.link_rental_reviews(fixture(spark, sf_dir, "fx_listing_review"), l, near, c, graph.canonical_coordinates(c), (10.0, 8.0, 20.0, 25.0))
+
+
+@query(with_fixtures("fx_place", "fx_listing", "fx_city") + """, n as (select 'nodes' as kind, 'cities' as item, count(*) as n from fx_city union all select 'nodes', 'places', count(*) from fx_place union all select 'nodes', 'listings', count(*) from fx_listing
+  union all select 'edges', 'in_city', count(*) from (select distinct place_id, city_slug from fx_place) union all select 'edges', 'hosts', count(*) from (select distinct host_id, listing_id from fx_listing))
+select * from n union all select 'all', 'total', sum(n)::bigint from n""")
+def node_edge_summary(spark, sf_dir):
+    """Nodes and edges by kind, with a total."""
+    f = lambda n: fixture(spark, sf_dir, n)
+    return graph.summary({"nodes": {"cities": f("fx_city"), "places": f("fx_place"), "listings": f("fx_listing")}, "edges": {"in_city": graph.edges(f("fx_place"), "place_id", "city_slug"), "hosts": graph.edges(f("fx_listing"), "host_id", "listing_id")}})
+
+
+@query("select event_type, (props->>'$.k')::int as k, count(*) as n, '{\"k\":' || (props->>'$.k') || '}' as json from events group by 2, 1, 4")
+def events_props_json(spark, sf_dir):
+    """Properties read from JSON and written as JSON."""
+    e = table(spark, sf_dir, "events").withColumn("p", F.from_json("props", "k int"))
+    return e.groupBy("event_type", F.col("p.k").alias("k"), F.to_json("p").alias("json")).agg(F.count("*").alias("n")).select("event_type", "k", "n", "json")
+
+
+@query(with_fixtures("fx_listing") + " select cast(n_nationkey as varchar) as host_id, n_name as name, n_nationkey % 2 = 0 as is_superhost, n_nationkey as listings_count from nation where n_nationkey < 20 union all select distinct cast(host_id as varchar), '-', false, -1 from fx_listing where host_id >= 20")
+def host_nodes(spark, sf_dir):
+    """Hosts, and stubs for those that only listings name."""
+    n = table(spark, sf_dir, "nation").where("n_nationkey < 20")
+    key = F.col("n_nationkey").cast("string")
+    hosts = n.select(key.alias("host_id"), F.col("n_name").alias("host_name"), F.when(F.col("n_nationkey") % 2 == 0, "True").otherwise("f").alias("host_is_superhost"), key.alias("host_listings_count"), F.lit("").alias("host_total_listings_count"))
+    l = fixture(spark, sf_dir, "fx_listing").withColumn("host_id", F.col("host_id").cast("string"))
+    return graph.host_nodes(hosts, l).select("host_id", F.coalesce("name", F.lit("-")).alias("name"), F.coalesce("is_superhost", F.lit(False)).alias("is_superhost"), F.coalesce("listings_count", F.lit(-1)).alias("listings_count"))
+
+
+@query(with_fixtures("fx_place") + " select source, city_slug, count(*) as n, count(*) filter (ord % 4 = 0) as dropped from fx_place group by 1, 2")
+def dropped_rows(spark, sf_dir):
+    """Rows and dropped rows by source and city."""
+    p = fixture(spark, sf_dir, "fx_place")
+    return diagnostics.dropped(p, p.where("ord % 4 <> 0"), "place_id", "source", "city_slug")
+
+
+@query()
+def fuzzy_best_match(spark, sf_dir):
+    """Places without coordinates take those of the most similar name of their city (tested against brute force: SQL has no such similarity)."""
+    p = fixture(spark, sf_dir, "fx_place").withColumn("city_hint", F.col("city_slug"))
+    none = F.lit(None).cast("double")
+    missing = p.where("source = 'reddit'").withColumns({"lat": none, "lon": none, "name": F.concat("name", F.when(F.col("ord") % 2 == 0, F.lit("s")).otherwise(F.lit(" hall")))})
+    return resolve.enrich_coordinates(missing, [p.where("source = 'yelp'"), p.where("source = 'wikivoyage'")]).select("place_id", "lat", "lon", "type", "address")
+
+
+@query(with_fixtures("fx_city", "fx_place") + """, s as (select distinct city_slug from fx_place order by 1 limit 3)
+select s.city_slug, count(p.place_id) as guide_rows, coalesce(sum((p.lat between min_lat and max_lat and p.lon between min_lon and max_lon)::int), 0)::bigint as confirmed from s left join fx_place p on p.city_slug = s.city_slug and p.source = 'wikivoyage' left join fx_city c on c.slug = s.city_slug group by 1""")
+def assignment_probe(spark, sf_dir):
+    """Guide rows of the first cities, and those that lie in their city."""
+    c = cities(spark, sf_dir).withColumn("radius_km", F.lit(-1.0))
+    return diagnostics.assignment_probe(fixture(spark, sf_dir, "fx_place"), c, 3)
+
+
+@query("select p_partkey, trim(regexp_replace(lower(p_name || ' / ' || p_type), '[^a-z0-9]+', '-', 'g'), '-') as slug from part")
+def plain_slugs(spark, sf_dir):
+    """Slugs without accents and marks."""
+    return table(spark, sf_dir, "part").select("p_partkey", text.plain_slug(F.concat("p_name", F.lit(" / "), "p_type")).alias("slug"))

@@ -1,8 +1,8 @@
 """A Python data source for SQLite tables, and the two place loaders that use it.
 
-``spark.read.format("sqlite").option("path", file).option("query", sql)`` reads a query;
-``option("table", name)`` with ``option("partitions", n)`` reads rowid ranges in parallel. The file must
-be readable on every executor.
+``spark.read.format("sqlite").option("path", file).option("query", sql)`` reads a query in one task;
+``option("table", name)`` with ``option("partitions", n)`` and perhaps ``option("where", condition)`` reads rowid ranges in
+parallel, as the loaders do. The file must be readable on every executor.
 """
 
 from __future__ import annotations
@@ -44,9 +44,9 @@ class _Reader(DataSourceReader):
         kinds = [f.dataType.typeName() for f in self.schema.fields]
         cast = {"string": str, "double": float, "long": int, "integer": int}
         names = ", ".join(f'"{f.name}"' for f in self.schema.fields)
-        sql = self.options.get("query") or f'select {names} from "{self.options["table"]}"'
+        sql = self.options.get("query") or f'select {names} from "{self.options["table"]}" where ({self.options.get("where") or "1 = 1"})'
         if part.low is not None:
-            sql += f" where rowid >= {part.low} and rowid < {part.high}"
+            sql += f" and rowid >= {part.low} and rowid < {part.high}"
         with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as db:
             for row in db.execute(sql):
                 yield tuple(None if v is None else cast[k](v) for v, k in zip(row, kinds))
@@ -64,30 +64,38 @@ class SqliteSource(DataSource):
         return _Reader(schema, dict(self.options))
 
 
-def read_sqlite(spark: SparkSession, path: str, schema: str, query: str | None = None, table: str | None = None, partitions: int = 1) -> DataFrame:
+#: Tasks that read a table.
+PARTITIONS = 16
+
+
+def read_sqlite(spark: SparkSession, path: str, schema: str, query: str | None = None, table: str | None = None, partitions: int = PARTITIONS, where: str = "") -> DataFrame:
     ship_package(spark)
     spark.dataSource.register(SqliteSource)
-    reader = spark.read.format("sqlite").schema(schema).option("path", path).option("partitions", partitions)
-    return (reader.option("query", query) if query else reader.option("table", table)).load()
+    reader = spark.read.format("sqlite").schema(schema).option("path", path)
+    return (reader.option("query", query) if query else reader.option("table", table).option("partitions", partitions).option("where", where)).load()
 
 
 def load_businesses(spark: SparkSession, path: str) -> DataFrame:
     """Restaurants with name and coordinates."""
-    sql = "select business_id, business_name, latitude, longitude, business_address, city from yelp_businesses where latitude is not null and longitude is not null and business_name is not null"
-    rows = read_sqlite(spark, path, "id string, name string, lat double, lon double, address string, city_hint string", sql)
-    return rows.select(ids.prefixed("yelp", F.col("id")).alias("place_id"), F.lit("yelp").alias("source"), "name", "lat", "lon", F.lit("restaurant").alias("type"), "address", "city_hint")
+    columns = "business_id string, business_name string, latitude double, longitude double, business_address string, city string"
+    rows = read_sqlite(spark, path, columns, table="yelp_businesses", where="latitude is not null and longitude is not null and business_name is not null")
+    return rows.select(
+        ids.prefixed("yelp", F.col("business_id")).alias("place_id"), F.lit("yelp").alias("source"), F.col("business_name").alias("name"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.lit("restaurant").alias("type"),
+        F.col("business_address").alias("address"), F.col("city").alias("city_hint"),
+    )
 
 
 def load_mentions(spark: SparkSession, path: str) -> DataFrame:
     """Places named in discussions; coordinates may be missing."""
-    sql = "select canonical, name, latitude, longitude, city from reddit_pois"
-    rows = read_sqlite(spark, path, "canonical string, name string, lat double, lon double, city_hint string", sql)
+    rows = read_sqlite(spark, path, "canonical string, name string, latitude double, longitude double, city string", table="reddit_pois")
     none = F.lit(None).cast("string")
-    return rows.select(ids.prefixed("reddit", F.col("canonical")).alias("place_id"), F.lit("reddit").alias("source"), "name", "lat", "lon", none.alias("type"), none.alias("address"), "city_hint")
+    return rows.select(
+        ids.prefixed("reddit", F.col("canonical")).alias("place_id"), F.lit("reddit").alias("source"), "name", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), none.alias("type"), none.alias("address"), F.col("city").alias("city_hint")
+    )
 
 
 def load_reviews(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """place_id, rating, text, scraped_at of ``yelp`` or ``reddit`` reviews."""
     table, key = {"yelp": ("yelp_business_reviews", "business_id"), "reddit": ("reddit_poi_reviews", "poi")}[kind]
-    rows = read_sqlite(spark, path, "id string, rating string, text string, scraped_at string", f"select {key}, rating, review_text, scraped_at from {table}")
-    return rows.select(ids.prefixed(kind, F.col("id")).alias("place_id"), F.col("rating").try_cast("double").alias("rating"), "text", "scraped_at")
+    rows = read_sqlite(spark, path, f"{key} string, rating string, review_text string, scraped_at string", table=table)
+    return rows.select(ids.prefixed(kind, F.col(key)).alias("place_id"), F.col("rating").try_cast("double").alias("rating"), F.col("review_text").alias("text"), "scraped_at")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,60 +13,63 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructField, Struc
 from poiweave.functions import text
 from poiweave.session import ship_package
 
-#: Templates that list a place.
+#: Templates that list a place, and the fields that may hold a property, the first that is filled counts.
 TEMPLATES = ["see", "do", "eat", "drink", "sleep", "buy", "listing", "marker"]
-_FLAT = re.compile(r"\{\{([^{}|]+)\|([^}]*)\}\}")
+NAME_FIELDS = ["name", "alt", "title"]
+LATITUDE_FIELDS, LONGITUDE_FIELDS = ["lat"], ["long", "lon"]
+ADDRESS_FIELDS = ["address", "addr", "street", "directions"]
+TEXT_FIELDS = ["content", "description", "desc", "summary", "alt"]
 _KIND = ArrayType(StructType([StructField("template", StringType()), StructField("fields", MapType(StringType(), StringType()))]))
 
 
-def _fields(body: str) -> dict[str, str]:
-    out = {}
-    for part in re.split(r"\s*\|\s*", body):
-        k, sign, v = part.partition("=")
-        if sign:
-            out[k.strip().lower()] = v.strip()
-    return out
+def _split(body: str, nested: bool) -> list[str]:
+    """A template's body at its bars; with ``nested``, not at those inside inner braces or links."""
+    if not nested:
+        return body.split("|")
+    parts, depth, at = [], 0, 0
+    for m in re.finditer(r"\{\{|\[\[|\}\}|\]\]|\|", body):
+        depth += {"{{": 1, "[[": 1, "}}": -1, "]]": -1, "|": 0}[m[0]]
+        if m[0] == "|" and depth == 0:
+            parts.append(body[at : m.start()])
+            at = m.end()
+    return [*parts, body[at:]]
+
+
+def _bodies(wikitext: str, nested: bool) -> Iterator[str]:
+    """What stands between the braces of templates: at any depth, or up to the first closing brace after a name and a bar."""
+    if nested:
+        opened: list[int] = []
+        for m in re.finditer(r"\{\{|\}\}", wikitext):
+            if m[0] == "{{":
+                opened.append(m.end())
+            elif opened:
+                yield wikitext[opened.pop() : m.start()]
+        return
+    at = wikitext.find("{{")
+    while at >= 0:
+        bar, close = wikitext.find("|", at), wikitext.find("}", at)
+        name = wikitext[at + 2 : bar]
+        if 0 <= bar < close and name and "{" not in name and wikitext.startswith("}}", close):
+            yield wikitext[at + 2 : close]
+            at = wikitext.find("{{", close + 2)
+        else:
+            at = wikitext.find("{{", at + 1)
 
 
-def flat_templates(wikitext: str) -> list[tuple[str, dict[str, str]]]:
-    """Listing templates without templates inside them; the last of repeated fields wins."""
-    return [(m[1].strip().lower(), _fields(m[2])) for m in _FLAT.finditer(wikitext) if m[1].strip().lower() in TEMPLATES]
-
-
-def nested_templates(wikitext: str) -> list[tuple[str, dict[str, str]]]:
-    """Listing templates at any depth; bars inside inner braces or links do not split."""
-    out, stack, i = [], [], 0
-    while i < len(wikitext) - 1:
-        two = wikitext[i : i + 2]
-        if two == "{{":
-            stack.append(i + 2)
-            i += 2
-        elif two == "}}" and stack:
-            body = wikitext[stack.pop() : i]
-            i += 2
-            parts, depth, at = [], 0, 0
-            for m in re.finditer(r"\{\{|\[\[|\}\}|\]\]|\|", body):
-                if m[0] in ("{{", "[["):
-                    depth += 1
-                elif m[0] in ("}}", "]]"):
-                    depth -= 1
-                elif depth == 0:
-                    parts.append(body[at : m.start()])
-                    at = m.end()
-            parts.append(body[at:])
-            name = parts[0].strip().lower()
-            if name in TEMPLATES:
-                out.append((name, {k.strip().lower(): v.strip() for k, s, v in (p.partition("=") for p in parts[1:]) if s}))
-        else:
-            i += 1
+def templates(wikitext: str, nested: bool = False) -> list[tuple[str, dict[str, str]]]:
+    """(template, fields) of the listing templates of a page; of repeated fields the last counts."""
+    out = []
+    for body in _bodies(wikitext, nested):
+        name, *fields = _split(body, nested)
+        if (kind := name.strip().lower()) in TEMPLATES:
+            out.append((kind, {k.strip().lower(): v.strip() for k, sign, v in (f.partition("=") for f in fields) if sign}))
     return out
 
 
 def _parser(nested: bool):
     @F.pandas_udf(_KIND)
     def parse(pages: pd.Series) -> pd.Series:
-        find = nested_templates if nested else flat_templates
-        return pages.map(lambda t: [{"template": k, "fields": f} for k, f in find(t or "")])
+        return pages.map(lambda t: [{"template": k, "fields": f} for k, f in templates(t or "", nested)])
 
     return parse
 
@@ -83,15 +87,20 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return pages.where("(ns is null or ns = '0') and redirect is null and trim(revision.text) <> ''").select("title", "ns", F.col("revision.text").alias("wikitext"))
 
 
-def load_guide(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
-    """Places listed in guide pages; rows without name or coordinates go."""
-    ship_package(spark)
-    found = read_pages(spark, path).select("title", F.explode(_parser(nested)("wikitext")).alias("t"))
-    field = lambda *names: F.coalesce(*[text.null_if_blank(F.col("t.fields")[n]) for n in names])
+def listings_of(pages: DataFrame, nested: bool = False) -> DataFrame:
+    """Places listed in pages (title, wikitext): place_id, source, name, lat, lon, type, address, city_hint, desc. Rows without name or
+    coordinates go; a template without a name of its own has none."""
+    ship_package(pages.sparkSession)
+    found = pages.select("title", F.explode(_parser(nested)("wikitext")).alias("t"))
+    field = lambda names: F.coalesce(*[text.null_if_blank(F.col("t.fields")[n]) for n in names])
     rows = found.select(
-        "title", F.coalesce(field("name", "alt"), F.col("title")).alias("name"), text.first_number(field("lat")).alias("lat"), text.first_number(field("long", "lon")).alias("lon"), F.col("t.template").alias("type"),
-        field("address", "addr", "street", "directions").alias("address"), F.col("title").alias("city_hint"), field("content", "description", "desc", "summary", "alt").alias("desc"),
-    )
-    rows = rows.na.drop(subset=["lat", "lon"]).where("trim(name) <> ''")
+        "title", field(NAME_FIELDS).alias("name"), text.first_number(field(LATITUDE_FIELDS)).alias("lat"), text.first_number(field(LONGITUDE_FIELDS)).alias("lon"), F.col("t.template").alias("type"),
+        field(ADDRESS_FIELDS).alias("address"), F.col("title").alias("city_hint"), field(TEXT_FIELDS).alias("desc"),
+    ).na.drop(subset=["lat", "lon", "name"])
     pid = _place_id(text.name_slug(F.col("title")), text.name_slug(F.col("name")), "lat", "lon")
     return rows.select(pid.alias("place_id"), F.lit("wikivoyage").alias("source"), "name", "lat", "lon", "type", "address", "city_hint", "desc")
+
+
+def load_guide(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """Places listed in the guide pages of a dump."""
+    return listings_of(read_pages(spark, path), nested)

@@ -14,17 +14,6 @@ def test_query_matches_duckdb(spark, duck, name):
     assert form(got).equals(form(want))
 
 
-def test_fuzzy_links_match_brute_force(spark):
-    from poiweave.functions.fuzzy import match_score
-
-    places = catalog.fixture(spark, DATA, "fx_place")
-    from poiweave.operators import resolve
-
-    pairs = resolve.score_pairs(resolve.candidate_pairs(places)).toPandas()
-    clean = lambda s: " ".join("".join(c if c.isalnum() else " " for c in s.lower()).split())
-    assert all(abs(match_score(clean(r.name_a), clean(r.name_b)) - r.name_sim) < 1e-9 for r in pairs.itertuples())
-
-
 def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
     rows = [(9, 8), (8, 7), (7, 6), (1, 2), (3, 3), (None, 4), (5, 4), (4, 10), (10, 5)]

@@ -16,7 +16,7 @@ def test_wiki(spark, tmp_path):
     (tmp_path / "w.xml").write_text(WIKI)
     rows = {r.name: r for r in wikidump.load_guide(spark, str(tmp_path / "w.xml")).collect()}
     assert set(rows) == {"Louvre", "Chez X"} and rows["Louvre"].place_id == "wv:paris:louvre:48.86000,2.33000" and rows["Louvre"].desc == "Museum"
-    assert wikidump.nested_templates("{{see|name=A {{x|y}}|lat=1}}") == [("see", {"name": "A {{x|y}}", "lat": "1"})]
+    assert wikidump.templates("{{see|name=A {{x|y}}|lat=1}}", nested=True) == [("see", {"name": "A {{x|y}}", "lat": "1"})]
 
 
 def test_sqlite(spark, tmp_path):
@@ -38,7 +38,7 @@ def test_sqlite(spark, tmp_path):
 
 def test_config_and_regions(spark, tmp_path):
     config = {"cities": [{"slug": "a", "name": "A", "center": {"lat": 10, "lon": 10}, "bbox": [9.9, 9.9, 10.1, 10.1]}, {"slug": "b", "name": "B", "aliases": ["Bee"], "bbox": {"min_lat": 9.9, "min_lon": 9.9, "max_lat": 10.2, "max_lon": 10.2}, "polygon": [[9.9, 9.9], [9.9, 10.0], [10.0, 10.0]]}, {"slug": "c", "name": "C", "center": {"lat": 20, "lon": 20}}]}
-    (tmp_path / "c.json").write_text(json.dumps(config))
+    (tmp_path / "c.json").write_text(json.dumps(config, indent=2))
     cities = files.read_cities(spark, str(tmp_path / "c.json"))
     points = spark.createDataFrame([("in_polygon", 9.92, 9.99), ("first_box", 10.05, 9.95), ("second_box", 10.15, 10.15), ("radius", 20.1, 20.0), ("none", 40.0, 40.0), ("null", None, 1.0)], "place_id string, lat double, lon double")
     got = {r.place_id: r.city_slug for r in spatial.assign_city(points, cities, "place_id").collect()}
