@@ -102,6 +102,37 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tup
     return hashes_of(raw, starts, ends, lower), rows
 
 
+_MARK, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+
+
+def without_marks(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, with marks behind a letter or figure (ASCII or of U+00C0 to U+00FF) as words of their own, and the new place of each word."""
+    cut = ends.copy()
+    todo = np.arange(len(cut))
+    while len(todo := todo[_MARK[raw[cut[todo] - 1]] & (cut[todo] - 1 > starts[todo])]):
+        cut[todo] -= 1
+    last, before = raw[cut - 1], raw[np.maximum(cut - 2, 0)]
+    letter = _ALNUM[last] | ((before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7))
+    split = (cut < ends) & letter
+    number = 1 + split
+    first = np.cumsum(number) - number
+    starts, ends = np.repeat(starts, number), np.repeat(ends, number)
+    ends[first[split]] = starts[first[split] + 1] = cut[split]
+    return starts, ends, first
+
+
+def gather(parts: list[bytes], kind: np.dtype, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of parts (bytes of ``kind``) end to end, in the order ``place``, and where each one begins (one more entry closes)."""
+    flat = np.frombuffer(b"".join(parts), kind)
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(kind).itemsize
+    each = size[place]
+    done = np.concatenate([[0], np.cumsum(each)])
+    where = np.repeat((np.cumsum(size) - size)[place] - done[:-1], each) + np.arange(done[-1])
+    return flat[where], done
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``size`` bytes in a string column; a longer row is a part of its own."""
     offsets = strings(batch.column(column))[1]
@@ -113,13 +144,18 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[
 BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 
 
+def at_most(spark, key: str, most: int) -> None:
+    """Lower a numeric setting of the session, unless it is as low already."""
+    now = str(spark.conf.get(key)).rstrip("bB")
+    if not now.isdigit() or not 0 < int(now) <= most:
+        spark.conf.set(key, str(most))
+
+
 def prepare(spark) -> None:
     """Ready a session for Python workers: this package on every executor, and bounded Arrow batches.
 
     Spark reads the bounds when a plan runs, so they stay lowered in the session; lower ones are left alone.
     """
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = str(spark.conf.get(key)).rstrip("bB")
-        if not now.isdigit() or not 0 < int(now) <= most:
-            spark.conf.set(key, str(most))
+    at_most(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    at_most(spark, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     ship_package(spark)

@@ -11,6 +11,9 @@ dictionary words by their ids, and hands the other distinct words of that docume
 every text is encoded; the dictionary only decides where. Words of over LONG_WORD characters are
 merged by a heap in the worker, with the same result.
 
+Array operations cut texts at white space and before marks at the ends of words, where the pattern cuts too; distinct pieces are then
+split by the pattern itself. Texts with other white space or with characters above 255, and other patterns, are split as a whole.
+
 Results in odd cases: null and empty texts have no tokens, and the digests of empty input; repeated
 rows get equal results; an empty table gives no rows; extra columns are not read.
 """
@@ -40,6 +43,8 @@ DICTIONARY, DICTIONARY_BYTES = 2_000_000, 32 << 20
 HOT_WORDS = 200_000
 #: In the fold: no merge, and the id of the pieces at the ends. No token has either number.
 _NONE, _EDGE = 65_535, 65_534
+#: Bytes of texts whose pieces are looked up together.
+SLICE_BYTES = 2 << 20
 #: Words of more characters (blobs without a break) are merged by a heap in the worker: a fold over
 #: arrays takes time with the square of the length.
 LONG_WORD = 400
@@ -228,6 +233,66 @@ def _splitter(pattern: str, latin: str | None):
     return lambda text: (simple if _latin(text) else find)(text)
 
 
+#: The pattern whose cuts at white space and marks are known.
+PLAIN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _odd_rows(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rows with characters above 255, or with white space that is not among U+0009 to U+000D and U+0020."""
+    odd = (raw >= 0xC4) | ((raw >= 0x1C) & (raw <= 0x1F))
+    if len(raw) > 1:
+        odd[:-1] |= (raw[:-1] == 0xC2) & ((raw[1:] == 0x85) | (raw[1:] == 0xA0))
+    seen = np.concatenate([[0], np.cumsum(odd)])
+    return np.flatnonzero(seen[offsets[1:]] > seen[offsets[:-1]])
+
+
+def _ranges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the pieces of plain rows, in order. Of white space before a word, the last character goes with the word if it is a
+    blank and alone if not, and what precedes it is a piece; white space at the end of a row is one piece."""
+    starts, ends, rows = A.word_bounds(raw, offsets)
+    some = rows[:-1] < rows[1:]
+    before, tail = np.concatenate([[0], ends[:-1]])[: len(starts)], offsets[:-1].copy()
+    before[rows[:-1][some]] = offsets[:-1][some]
+    tail[some] = ends[rows[1:][some] - 1]
+    gap = starts - before
+    lead = (gap > 0) & (raw[np.maximum(starts, 1) - 1] == 0x20) if len(starts) else np.zeros(0, bool)
+    head, alone, rest = gap > 1, (gap > 0) & ~lead, tail < offsets[1:]
+    one, two, first = A.without_marks(raw, starts, ends)
+    one[first] -= lead
+    a = np.concatenate([one, before[head], starts[alone] - 1, tail[rest]])
+    b = np.concatenate([two, starts[head] - 1, starts[alone], offsets[1:][rest]])
+    order = np.argsort(a, kind="stable")
+    return a[order], b[order]
+
+
+def _pieces(column: pa.Array, split, plain: bool) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pieces of a column's texts: how often each occurs, the place of every piece among them, and the first piece of each row."""
+    raw, offsets = A.strings(column)
+    odd = _odd_rows(raw, offsets) if plain else np.arange(len(offsets) - 1)
+    if plain:
+        starts, ends = _ranges(raw, offsets)
+        rows = np.searchsorted(starts, offsets)
+    else:
+        starts = ends = np.zeros(0, np.int64)
+        rows = np.zeros(len(offsets), np.int64)
+    if len(odd):  # their pieces are the pattern's matches, whose bytes follow the others
+        texts, more, at, upto = column.take(pa.array(odd)).to_pylist(), [], len(raw), 0
+        a, b, sizes = [], [], np.diff(rows)
+        for row, text in zip(odd.tolist(), texts):
+            found = [t.encode() for t in split(text or "")]
+            size = np.cumsum([0, *map(len, found)]) + at
+            a += [starts[upto : rows[row]], size[:-1]]
+            b += [ends[upto : rows[row]], size[1:]]
+            sizes[row], upto, at = len(found), rows[row + 1], int(size[-1])
+            more += found
+        starts, ends = np.concatenate([*a, starts[upto:]]), np.concatenate([*b, ends[upto:]])
+        rows = np.concatenate([[0], np.cumsum(sizes)])
+        raw = np.concatenate([raw, np.frombuffer(b"".join(more), np.uint8)])
+    _, first, place, counts = np.unique(A.hashes_of(raw, starts, ends, lower=False), return_index=True, return_inverse=True, return_counts=True)
+    data = raw.tobytes()
+    return [data[x:y].decode() for x, y in zip(starts[first].tolist(), ends[first].tolist())], counts, place, rows
+
+
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 400_000
 
@@ -247,10 +312,11 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
             seen.clear()
 
         for whole in batches:
-            for batch in A.slices(whole, 0, 1 << 20):
-                for text in batch.column(0).to_pylist():
-                    if text:
-                        seen.update(split(text))
+            for batch in A.slices(whole, 0, SLICE_BYTES):
+                texts, counts, _, _ = _pieces(batch.column(0), split, pattern == PLAIN)
+                for text, n in zip(texts, counts.tolist()):
+                    for word in split(text):
+                        seen[word] += n
                 if len(seen) > COUNTED:
                     yield from rows()
         yield from rows()
@@ -357,17 +423,23 @@ def _latin(text: str) -> bool:
     return True
 
 
-def _lists(blob: bytes, ends: list[int], rows: list[int]) -> pa.Array:
-    """Lists of lists of 32-bit numbers: bytes of all, where each inner list ends in them, and how many inner lists each row has."""
-    flat = pa.Array.from_buffers(pa.int32(), len(blob) // 4, [None, pa.py_buffer(blob)])
-    inner = pa.ListArray.from_arrays(pa.array(np.array([0, *ends], np.int64) // 4, pa.int32()), flat)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *rows]), pa.int32()), inner)
+def _parted(ids: np.ndarray, stops: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Lists, for each row, of the lists of ids between negative ones; and the place and the row of each negative one. ``stops``: where rows end."""
+    at = np.flatnonzero(ids < 0)
+    row = np.searchsorted(stops, at, side="right")
+    ends = np.concatenate([at - np.arange(len(at)), stops - np.searchsorted(at, stops)])
+    order = np.argsort(np.concatenate([2 * at + 1, 2 * stops]), kind="stable")
+    flat = np.ascontiguousarray(ids[ids >= 0], np.int32)
+    inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends[order]]), pa.int32()), pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]))
+    number = np.bincount(row, minlength=len(stops)) + 1
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(number)]), pa.int32()), inner), at, row
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): the ids of every text, as an array."""
     spark = docs.sparkSession
     A.prepare(spark)
+    A.at_most(spark, "spark.sql.maxPlanStringLength", 100_000)  # the literal tables are long, and plan texts are kept
     blobs = spark.sparkContext.broadcast(dictionary(docs, path, pattern, text_col))
     ranks = spark.sparkContext.broadcast(load_ranks(path))
     latin = latin_pattern(pattern)
@@ -376,34 +448,32 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         known, split = _known(blobs.value), _splitter(pattern, latin)
         get = known.hot.get
         for whole in batches:
-            for batch in A.slices(whole, 1, 1 << 20):
-                lists, unknown, words = [], [], []
-                for text in batch.column(1).to_pylist():
-                    found = split(text or "")
-                    ids = list(map(get, found))
-                    at, k = [], -1
-                    for _ in range(ids.count(None)):
-                        k = ids.index(None, k + 1)
-                        at.append(k)
-                        words.append(found[k])
-                    lists.append(ids), unknown.append(at)
-                parts, ends, rows, cold, places, size = [], [], [], [], [], 0
-                rest = zip(words, known.find(words))
-                for ids, at in zip(lists, unknown):
-                    fresh, place, begin = {}, [], 0
-                    for k, (word, got) in zip(at, rest):
+            for batch in A.slices(whole, 1, SLICE_BYTES):
+                pieces, _, place, rows = _pieces(batch.column(1), split, pattern == PLAIN)
+                ids = list(map(get, pieces))
+                new, words = [], []
+                for k in [k for k, x in enumerate(ids) if x is None]:
+                    tokens = split(pieces[k])
+                    new.append((k, tokens))
+                    words += tokens
+                fresh: dict[str, int] = {}
+                rest = iter([x if x is not None else y for x, y in zip(map(get, words), known.find(words))])
+                for k, tokens in new:
+                    out = []
+                    for word, got in zip(tokens, rest):
                         if got is None and len(word) > LONG_WORD:
                             got = np.array(merge_long(word.encode(), ranks.value), np.int32).tobytes()
-                        ids[k] = got
-                        if got is None:  # the ids so far, then a word to fold
-                            parts.append(b"".join(ids[begin:k])), place.append(fresh.setdefault(word, len(fresh)))
-                            size += len(parts[-1])
-                            ends.append(size)
-                            begin = k + 1
-                    parts.append(b"".join(ids[begin:] if begin else ids))
-                    size += len(parts[-1])
-                    ends.append(size), rows.append(len(place) + 1), cold.append(list(fresh)), places.append(place)
-                columns = [batch.column(0), _lists(b"".join(parts), ends, rows), pa.array(cold, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))]
+                        # a word to fold stands as a negative number
+                        out.append(got if got is not None else (~fresh.setdefault(word, len(fresh))).to_bytes(4, "little", signed=True))
+                    ids[k] = b"".join(out)
+                numbers, done = A.gather(ids, np.dtype("<i4"), place)
+                parts, at, row = _parted(numbers, done[rows[1:]])
+                cold: list[dict[int, int]] = [{} for _ in range(batch.num_rows)]
+                places: list[list[int]] = [[] for _ in range(batch.num_rows)]
+                for r, code in zip(row.tolist(), (~numbers[at]).tolist()):
+                    places[r].append(cold[r].setdefault(code, len(cold[r])))
+                spelt = list(fresh)
+                columns = [batch.column(0), parts, pa.array([[spelt[c] for c in x] for x in cold], pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "parts", "cold", "places"])
 
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

@@ -41,8 +41,8 @@ SKETCH_BITS = 512
 MISS = 1e-6
 #: Samples and bits of the finer odd sketches that the last round makes for members of open buckets only.
 FINE_SAMPLES, FINE_BITS = 2_048, 4_096
-#: Ids up to this many are broadcast to the scan that recomputes full sets; beyond it the join shuffles.
-BROADCAST_IDS = 2_000_000
+#: Ids up to this many (eight bytes each) are broadcast to the scan that recomputes full sets; beyond it the join shuffles.
+BROADCAST_IDS = 1_000_000
 STAR_ROUNDS = 3
 #: To confirm, a block has as many pairs of one text, and as many shingles; in the last round, as many members of a bucket.
 BLOCK_PAIRS, BLOCK_SHINGLES, BLOCK_MEMBERS = 64, 1 << 20, 512

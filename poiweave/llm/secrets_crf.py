@@ -12,7 +12,7 @@ the task.
 Base spans stay as they are; a span of the field that overlaps none of them is added with kind ``crf``.
 Spans are in code points of the whole match, end exclusive.
 
-Results in odd cases: null and empty texts have no spans; repeated rows get equal results; an empty
+Results in odd cases: null and empty texts have no spans; a null id keeps its row; a very long text is one chain like any other; repeated rows get equal results; an empty
 table gives no rows; extra columns are not read.
 """
 

@@ -49,10 +49,8 @@ LEVEL = 3
 #: Parts to encode are sent together: words between blanks, others with this special token between them.
 _FENCE = "<|startoftext|>"
 _WORD_END = "</w>"
-_CASE, _MARK, _ALNUM = np.arange(256, dtype=np.uint8), np.zeros(256, bool), np.zeros(256, bool)
+_CASE = np.arange(256, dtype=np.uint8)
 _CASE[65:91] += 32
-_MARK[list(b".,;:!?")] = True
-_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
 def _simplified(raw: np.ndarray) -> np.ndarray:
@@ -64,22 +62,6 @@ def _simplified(raw: np.ndarray) -> np.ndarray:
     return out
 
 
-def _without_marks(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, with marks behind a letter or figure as words of their own."""
-    cut = ends.copy()
-    todo = np.arange(len(cut))
-    while len(todo := todo[_MARK[raw[cut[todo] - 1]] & (cut[todo] - 1 > starts[todo])]):
-        cut[todo] -= 1
-    last, before = raw[cut - 1], raw[np.maximum(cut - 2, 0)]
-    letter = _ALNUM[last] | ((before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7))
-    split = (cut < ends) & letter
-    number = 1 + split
-    first = np.cumsum(number) - number
-    starts, ends = np.repeat(starts, number), np.repeat(ends, number)
-    ends[first[split]] = starts[first[split] + 1] = cut[split]
-    return starts, ends, np.concatenate([[0], np.cumsum(number)])[rows]
-
-
 class Encoder:
     """Ids of texts as little-endian bytes of ``width``; parts are cached."""
 
@@ -133,7 +115,8 @@ class Encoder:
         starts, ends, rows = A.word_bounds(raw, offsets)
         if len(starts) and b"<|" not in raw.tobytes():  # else perhaps a special token, which has one spelling
             raw = _simplified(raw)
-            starts, ends, rows = _without_marks(raw, starts, ends, rows)
+            starts, ends, first = A.without_marks(raw, starts, ends)
+            rows = np.append(first, len(starts))[rows]
         _, first, place = np.unique(A.hashes_of(raw, starts, ends, lower=False), return_index=True, return_inverse=True)
         data = raw.tobytes()
         keys = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
@@ -145,16 +128,11 @@ class Encoder:
             self.size += sum(map(len, new))
             self._learn(new)
             ids = list(map(self.cache.__getitem__, keys))
-        flat = np.frombuffer(b"".join(ids), self.kind)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
-        at = np.cumsum(size) - size
-        each = size[place]  # ids of every part, then where they begin among those of all parts
-        done = np.concatenate([[0], np.cumsum(each)])
-        where = np.repeat(at[place] - done[:-1], each) + np.arange(done[-1])
+        flat, done = A.gather(ids, self.kind, place)
         stop = done[rows[1:]] + np.arange(1, len(offsets))
         out, inner = np.full(stop[-1] if len(stop) else 0, self.end, self.kind), np.ones(stop[-1] if len(stop) else 0, bool)
         inner[stop - 1] = False
-        out[inner] = flat[where]
+        out[inner] = flat
         return [out[a:b].tobytes() for a, b in zip([0, *stop.tolist()], stop.tolist())]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:

@@ -5,9 +5,9 @@ expressions; only lengths that occur among the rules are tried, so the fan-out i
 rules. Both sides meet on a 32-bit prefix of the expression's SHA-256; the full digest then confirms,
 and the longest rule wins (longer host first, then longer path).
 
-Results in odd cases: a null URL or one without ``://`` has an empty host and path and no rule;
-repeated rows are judged alike; an empty table gives no rows; without rules every verdict is the
-method's default, allow.
+Results in odd cases: a null URL or one without ``://`` has an empty host and path and no rule; a null id keeps its row; very long
+URLs are read as a whole; repeated rows are judged alike; an empty table gives no rows; without rules every verdict is the
+method's default, allow; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ PAGE_RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-#: Rules up to this many rows are broadcast; beyond it the join shuffles.
-BROADCAST_RULES = 1_000_000
+#: Rules up to this many rows and bytes are broadcast; beyond either the join shuffles.
+BROADCAST_RULES, BROADCAST_BYTES = 100_000, 32 << 20
 
 
 def rules_frame(spark: SparkSession, rules=PAGE_RULES) -> DataFrame:
@@ -56,7 +56,8 @@ def apply_rules(urls: DataFrame, rules: DataFrame, key: str, url_col: str = "url
     digest = lambda h, p: F.sha2(F.concat_ws("\x00", h, p), 256)
     listed = rules.select("verdict", F.concat("host", "path").alias("rule"), F.size(F.split("host", r"\.")).alias("depth"), F.length("path").alias("chars"), digest(F.col("host"), F.col("path")).alias("digest"))
     listed = listed.withColumn("short", F.substring("digest", 1, 8))
-    if listed.count() <= BROADCAST_RULES:
+    size = listed.agg(F.count("*").alias("n"), F.sum(F.octet_length("rule") + 120).alias("b")).first()
+    if size["n"] <= BROADCAST_RULES and (size["b"] or 0) <= BROADCAST_BYTES:
         listed = F.broadcast(listed)
     array = lambda xs: F.array(*[F.lit(x) for x in xs])
     places = parts.select("host", "path").distinct()
