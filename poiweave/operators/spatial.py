@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from poiweave.functions import geo, text
 
-#: City tables up to this many rows are broadcast; more are met through grid cells only.
-BROADCAST_CITIES = 100_000
+#: Tables up to this many rows and bytes (as JSON) are broadcast; larger ones are met by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
 
 
-def small(cities: DataFrame) -> DataFrame:
+def small(table: DataFrame) -> DataFrame:
     """A broadcast hint after a check of the size."""
-    return F.broadcast(cities) if cities.limit(BROADCAST_CITIES + 1).count() <= BROADCAST_CITIES else cities
+    size = table.limit(BROADCAST_ROWS + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")).first()
+    return F.broadcast(table) if size["n"] <= BROADCAST_ROWS and size["b"] <= BROADCAST_BYTES else table
 
 
 def city_reach(cities: DataFrame) -> DataFrame:

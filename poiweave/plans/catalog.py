@@ -608,3 +608,13 @@ def assignment_probe(spark, sf_dir):
 def plain_slugs(spark, sf_dir):
     """Slugs without accents and marks."""
     return table(spark, sf_dir, "part").select("p_partkey", text.plain_slug(F.concat("p_name", F.lit(" / "), "p_type")).alias("slug"))
+
+
+@query(with_fixtures("fx_place_review", "fx_place", "fx_city") + """ select sha1(r.place_id || '|' || scraped_at || '|' || left(text, 120) || '|') as id, 'yelp' as source, r.place_id, coalesce(c.slug, '-') as city_slug, rating::double as rating, text, scraped_at, coalesce(p.lat, 0) as lat, coalesce(p.lon, 0) as lon, coalesce(p.name, '-') as place_name, coalesce(address, '-') as address
+from fx_place_review r left join (select * from fx_place where ord % 7 <> 0) p on p.place_id = r.place_id left join fx_city c on p.lat between min_lat and max_lat and p.lon between min_lon and max_lon where r.source = 'yelp' and trim(text) <> ''""")
+def rag_reviews_export(spark, sf_dir):
+    """The older export: reviews with a text, of known places or not, by the city in whose box the place lies."""
+    r = fixture(spark, sf_dir, "fx_place_review").where("source = 'yelp'").select("place_id", F.col("rating").cast("double").alias("rating"), "text", "scraped_at")
+    p = fixture(spark, sf_dir, "fx_place").where("ord % 7 <> 0").select("place_id", "name", "address", "lat", "lon", F.col("type").alias("city"))
+    out = reviews.rag_reviews(r, p, cities(spark, sf_dir), "yelp")
+    return out.na.fill("-", ["city_slug", "place_name", "address"]).na.fill(0.0, ["lat", "lon"])

@@ -70,4 +70,14 @@ def test_stream(spark, tmp_path):
     (tmp_path / "in/a.json").write_text("\n".join(json.dumps(x) for x in (line, line, {**line, "review_id": "2", "place_id": "q"})) + "\nbroken")
     places = spark.createDataFrame([("p", "a")], "place_id string, city_slug string")
     ingest.write_stream(ingest.review_stream(spark, str(tmp_path / "in"), places), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 1 and [(r.city_slug, r.n, r.mean_rating) for r in ingest.daily_counts(out).collect()] == [("a", 1, 4.0)]
+
+
+def test_unique_keys(spark):
+    from poiweave.schemas import assert_unique
+
+    df = spark.createDataFrame([(1, 2), (1, 3)], "a int, b int")
+    assert assert_unique(df, "a", "b") is df
+    with pytest.raises(ValueError):
+        assert_unique(df, "a")
