@@ -214,7 +214,7 @@ class _Links:
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """Of sifted pairs, a table of those whose full sets reach the threshold."""
         pairs = materialise(pairs, "pairs")
-        met = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("c"))
+        met = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).groupBy("id").agg(F.count("*").alias("c"))
         parts = F.ceil(F.greatest(F.col("c") / BLOCK_PAIRS, F.col("c") * F.col("n") / BLOCK_SHINGLES)).cast("int")
         degrees = materialise(met.join(self.classes.select(F.col("rep").alias("id"), "n"), "id").select("id", F.struct("c", "id").alias("w"), parts.alias("parts")), "degrees")
         n = degrees.count()
