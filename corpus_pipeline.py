@@ -19,7 +19,7 @@ STAGES = [
     ("byte_bpe", byte_bpe.stage),
 ]
 
-#: The fitted label model and the random field have no SQL form; tests compare columns, types and two row counts, no rows yet.
+#: The fitted label model and the random field have no SQL form; a test holds the rows of run() against plain Python.
 ORACLE_SQL = None
 
 
