@@ -123,6 +123,18 @@ def without_marks(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
     return starts, ends, first
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One place of each distinct value, in order of values; for every value its number among them; and how often each occurs."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    at = np.flatnonzero(new)
+    number = np.empty(len(values), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[at], number, np.diff(np.append(at, len(values)))
+
+
 def gather(parts: list[bytes], kind: np.dtype, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of parts (bytes of ``kind``) end to end, in the order ``place``, and where each one begins (one more entry closes)."""
     flat = np.frombuffer(b"".join(parts), kind)

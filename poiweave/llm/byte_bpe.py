@@ -29,7 +29,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import pyarrow.ipc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,14 +36,12 @@ from pyspark.sql import functions as F
 from poiweave.llm import arrays as A
 from poiweave.storage import discard, materialise
 
-#: Distinct words sent to the workers, at most, and bytes of their text; they take about 60 bytes each in a worker.
-DICTIONARY, DICTIONARY_BYTES = 2_000_000, 32 << 20
-#: As many of them, the most frequent, lie in a Python dictionary (about 200 bytes each).
-HOT_WORDS = 200_000
+#: Distinct words sent to the workers, at most, and bytes of their text; they take about 130 bytes each in a worker.
+DICTIONARY, DICTIONARY_BYTES = 1_390_000, 24 << 20
 #: In the fold: no merge, and the id of the pieces at the ends. No token has either number.
 _NONE, _EDGE = 65_535, 65_534
 #: Bytes of texts whose pieces are looked up together.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1_000_000
 #: Words of more characters (blobs without a break) are merged by a heap in the worker: a fold over
 #: arrays takes time with the square of the length.
 LONG_WORD = 400
@@ -237,6 +234,18 @@ def _splitter(pattern: str, latin: str | None):
 PLAIN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: Bytes that are no part of an ASCII letter or of a letter of U+00C0 to U+00FF.
+_NO_LETTER = np.ones(256, bool)
+_NO_LETTER[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3]] = False
+
+
+def _no_second(raw: np.ndarray) -> np.ndarray:
+    """The second bytes of U+00D7 and U+00F7, the two signs among those letters."""
+    out = np.zeros(len(raw), bool)
+    out[1:] = (raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))
+    return out
+
+
 def _odd_rows(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Rows with characters above 255, or with white space that is not among U+0009 to U+000D and U+0020."""
     odd = (raw >= 0xC4) | ((raw >= 0x1C) & (raw <= 0x1F))
@@ -265,8 +274,9 @@ def _ranges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return a[order], b[order]
 
 
-def _pieces(column: pa.Array, split, plain: bool) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pieces of a column's texts: how often each occurs, the place of every piece among them, and the first piece of each row."""
+def _pieces(column: pa.Array, split, plain: bool) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pieces of a column's texts, which of them are letters only, how often each occurs, the place of every piece among them, and
+    the first piece of each row."""
     raw, offsets = A.strings(column)
     odd = _odd_rows(raw, offsets) if plain else np.arange(len(offsets) - 1)
     if plain:
@@ -288,9 +298,11 @@ def _pieces(column: pa.Array, split, plain: bool) -> tuple[list[str], np.ndarray
         starts, ends = np.concatenate([*a, starts[upto:]]), np.concatenate([*b, ends[upto:]])
         rows = np.concatenate([[0], np.cumsum(sizes)])
         raw = np.concatenate([raw, np.frombuffer(b"".join(more), np.uint8)])
-    _, first, place, counts = np.unique(A.hashes_of(raw, starts, ends, lower=False), return_index=True, return_inverse=True, return_counts=True)
-    data = raw.tobytes()
-    return [data[x:y].decode() for x, y in zip(starts[first].tolist(), ends[first].tolist())], counts, place, rows
+    first, place, counts = A.distinct(A.hashes_of(raw, starts, ends, lower=False))
+    data, a, b = raw.tobytes(), starts[first], ends[first]
+    marks = np.concatenate([[0], np.cumsum(_NO_LETTER[raw] | _no_second(raw))])
+    bare = a + (raw[a] == 0x20) if len(a) else a
+    return [data[x:y] for x, y in zip(a.tolist(), b.tolist())], (marks[b] == marks[bare]) & (bare < b), counts, place, rows
 
 
 #: Distinct words that a task counts before it hands them on.
@@ -308,15 +320,18 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
             words = list(seen)
             for a in range(0, len(words), 1 << 16):
                 some = words[a : a + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array(map(seen.__getitem__, some), pa.int64())], ["word", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()).cast(pa.string()), pa.array(map(seen.__getitem__, some), pa.int64())], ["word", "n"])
             seen.clear()
 
         for whole in batches:
             for batch in A.slices(whole, 0, SLICE_BYTES):
-                texts, counts, _, _ = _pieces(batch.column(0), split, pattern == PLAIN)
-                for text, n in zip(texts, counts.tolist()):
-                    for word in split(text):
-                        seen[word] += n
+                pieces, letters, counts, _, _ = _pieces(batch.column(0), split, pattern == PLAIN)
+                for piece, whole_word, n in zip(pieces, letters.tolist(), counts.tolist()):
+                    if whole_word:
+                        seen[piece] += n
+                    else:
+                        for word in split(piece.decode()):
+                            seen[word.encode()] += n
                 if len(seen) > COUNTED:
                     yield from rows()
         yield from rows()
@@ -324,17 +339,17 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY, limit_bytes: int = DICTIONARY_BYTES, hot: int = HOT_WORDS) -> list[bytes]:
-    """Ids of the most frequent words, as compressed Arrow streams of (word, ids, hot): all words whose count is in a class (an eighth of a
-    power of two) as high as keeps within ``limit`` and ``limit_bytes``, and the hot ones within ``hot``. The driver only passes them on.
+def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY, limit_bytes: int = DICTIONARY_BYTES) -> list[bytes]:
+    """Ids of the most frequent words, as compressed Arrow streams of (word, ids): all words whose count is in a class (an eighth of a
+    power of two) as high as keeps within ``limit`` and ``limit_bytes``. The driver only passes them on.
     """
     counts = materialise(word_counts(docs, pattern, text_col).where(f"n > 1 and length(word) <= {LONG_WORD}").withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "words")
-    words, size, least, least_hot = 0, 0, None, 1 << 30
+    words, size, least = 0, 0, None
     for row in counts.groupBy("class").agg(F.count("*"), F.sum(F.octet_length("word"))).orderBy(F.desc("class")).collect():  # 512 rows at most
         words, size = words + row[1], size + row[2]
         if words > limit or size > limit_bytes:
             break
-        least, least_hot = row[0], row[0] if words <= hot else least_hot
+        least = row[0]
     wanted = counts.where(F.col("class") >= least) if least is not None else counts.limit(0)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,71 +361,26 @@ def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
                 stream.write_table(table, max_chunksize=1 << 16)
             yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], ["blob"])
 
-    folded = wanted.select("word", fold_words(F.array("word"), path)[0].alias("ids"), (F.col("class") >= least_hot).alias("hot"))
+    folded = wanted.select("word", fold_words(F.array("word"), path)[0].alias("ids"))
     blobs = [bytes(r[0]) for r in folded.mapInArrow(pack, "blob binary").collect()]
     discard(counts)
     return blobs
 
 
-class _Known:
-    """The dictionary in a worker. Ids are 32-bit numbers end to end. Hot words are in ``hot``; the others in a hash table of arrays, by
-    places of an open-addressing table, with their text to compare."""
-
-    def __init__(self, blobs: list[bytes]):
-        self.hot: dict[str, bytes] = {}
-        texts, ids = [], []
-        for blob in blobs:
-            for batch in pa.ipc.open_stream(blob):
-                hot = batch.column(2)
-                few = batch.filter(hot)
-                lists = few.column(1)
-                cuts, flat = (lists.offsets.to_numpy() * 4).tolist(), lists.values.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()
-                self.hot.update(zip(few.column(0).to_pylist(), [flat[a:b] for a, b in zip(cuts, cuts[1:])]))
-                rest = batch.filter(pa.compute.invert(hot))
-                texts.append(rest.column(0)), ids.append(rest.column(1))
-        text = pa.concat_arrays(texts) if texts else pa.array([], pa.string())
-        lists = pa.concat_arrays(ids) if ids else pa.array([], pa.list_(pa.uint16()))
-        self.raw, self.text_at = A.strings(text)
-        self.ids, self.ids_at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        size = 1 << max(4, (4 * len(text) // 3).bit_length())
-        self.mask = np.int64(size - 1)
-        self.entry, self.code = np.full(size, -1, np.int32), np.zeros(size, np.int32)
-        code = np.concatenate([np.fromiter(map(hash, text[a : a + 65536].to_pylist()), np.int64) for a in range(0, len(text), 65536)] or [np.zeros(0, np.int64)])
-        todo, at = np.arange(len(code)), code & self.mask
-        while len(todo):
-            free = np.flatnonzero(self.entry[at[todo]] < 0)
-            where, first = np.unique(at[todo[free]], return_index=True)
-            put = todo[free[first]]
-            self.entry[where], self.code[where] = put, code[put] >> 32
-            left = np.ones(len(todo), bool)
-            left[free[first]] = False
-            todo = todo[left]
-            at[todo] = at[todo] + 1 & self.mask
-
-    def find(self, words: list[str]) -> list[bytes | None]:
-        """Ids of words that are not hot; None where a word is not in the dictionary."""
-        code = np.fromiter(map(hash, words), np.int64, len(words))
-        at, todo, out = code & self.mask, np.arange(len(words)), [None] * len(words)
-        while len(todo):
-            entry = self.entry[at[todo]]
-            same = (entry >= 0) & (self.code[at[todo]] == code[todo] >> 32)
-            for k, e in zip(todo[same].tolist(), entry[same].tolist()):
-                if self.raw[self.text_at[e] : self.text_at[e + 1]].tobytes() == words[k].encode():
-                    out[k] = self.ids[self.ids_at[e] : self.ids_at[e + 1]].astype(np.int32).tobytes()
-            todo = todo[(entry >= 0) & ~same]  # a word behind another with the same 32 bits is folded again, which is rare
-            at[todo] = at[todo] + 1 & self.mask
-        return out
-
-
 _KEPT: dict = {}
 
 
-def _known(blobs: list[bytes]) -> _Known:
-    """The dictionary of these streams, once per worker process; a broadcast's value is one object there."""
+def _known(blobs: list[bytes]) -> dict[bytes, bytes]:
+    """The dictionary of these streams, ids as 16-bit numbers end to end, once per worker process; a broadcast's value is one object there."""
     if _KEPT.get("of") is not blobs:
         _KEPT.clear()
-        _KEPT["is"] = _Known(blobs)
-        _KEPT["of"] = blobs
+        out: dict[bytes, bytes] = {}
+        for blob in blobs:
+            for batch in pa.ipc.open_stream(blob):
+                ids = batch.column(1)
+                cuts, flat = (ids.offsets.to_numpy() * 2).tolist(), ids.values.to_numpy(zero_copy_only=False).astype("<u2").tobytes()
+                out.update(zip(batch.column(0).cast(pa.binary()).to_pylist(), [flat[a:b] for a, b in zip(cuts, cuts[1:])]))
+        _KEPT.update({"is": out, "of": blobs})
     return _KEPT["is"]
 
 
@@ -423,16 +393,16 @@ def _latin(text: str) -> bool:
     return True
 
 
-def _parted(ids: np.ndarray, stops: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Lists, for each row, of the lists of ids between negative ones; and the place and the row of each negative one. ``stops``: where rows end."""
-    at = np.flatnonzero(ids < 0)
+def _parted(ids: np.ndarray, stops: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Lists, for each row, of the lists of ids between those that are _NONE; and the row of each of these. ``stops``: where rows end."""
+    at = np.flatnonzero(ids == _NONE)
     row = np.searchsorted(stops, at, side="right")
     ends = np.concatenate([at - np.arange(len(at)), stops - np.searchsorted(at, stops)])
     order = np.argsort(np.concatenate([2 * at + 1, 2 * stops]), kind="stable")
-    flat = np.ascontiguousarray(ids[ids >= 0], np.int32)
+    flat = ids[ids != _NONE].astype(np.int32)
     inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends[order]]), pa.int32()), pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]))
     number = np.bincount(row, minlength=len(stops)) + 1
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(number)]), pa.int32()), inner), at, row
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(number)]), pa.int32()), inner), row
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -445,35 +415,34 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     latin = latin_pattern(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, split = _known(blobs.value), _splitter(pattern, latin)
-        get = known.hot.get
+        get, split = _known(blobs.value).get, _splitter(pattern, latin)
+        cold = np.array([_NONE], "<u2").tobytes()
         for whole in batches:
             for batch in A.slices(whole, 1, SLICE_BYTES):
-                pieces, _, place, rows = _pieces(batch.column(1), split, pattern == PLAIN)
+                pieces, letters, _, place, rows = _pieces(batch.column(1), split, pattern == PLAIN)
                 ids = list(map(get, pieces))
-                new, words = [], []
+                fresh: dict[bytes, int] = {}  # words to fold; in the ids, _NONE stands for each
+                codes = [b""] * len(pieces)
                 for k in [k for k, x in enumerate(ids) if x is None]:
-                    tokens = split(pieces[k])
-                    new.append((k, tokens))
-                    words += tokens
-                fresh: dict[str, int] = {}
-                rest = iter([x if x is not None else y for x, y in zip(map(get, words), known.find(words))])
-                for k, tokens in new:
-                    out = []
-                    for word, got in zip(tokens, rest):
-                        if got is None and len(word) > LONG_WORD:
-                            got = np.array(merge_long(word.encode(), ranks.value), np.int32).tobytes()
-                        # a word to fold stands as a negative number
-                        out.append(got if got is not None else (~fresh.setdefault(word, len(fresh))).to_bytes(4, "little", signed=True))
-                    ids[k] = b"".join(out)
-                numbers, done = A.gather(ids, np.dtype("<i4"), place)
-                parts, at, row = _parted(numbers, done[rows[1:]])
-                cold: list[dict[int, int]] = [{} for _ in range(batch.num_rows)]
+                    own, code = [], []
+                    for word in [pieces[k]] if letters[k] else [w.encode() for w in split(pieces[k].decode())]:
+                        got = get(word)
+                        if got is None and len(word) > LONG_WORD and len(word.decode()) > LONG_WORD:
+                            got = np.array(merge_long(word, ranks.value), "<u2").tobytes()
+                        if got is None:
+                            code.append(fresh.setdefault(word, len(fresh)))
+                        own.append(got or cold)
+                    ids[k] = b"".join(own)
+                    if code:
+                        codes[k] = np.array(code, np.int32).tobytes()
+                numbers, done = A.gather(ids, np.dtype("<u2"), place)
+                parts, row = _parted(numbers, done[rows[1:]])
+                folds: list[dict[int, int]] = [{} for _ in range(batch.num_rows)]
                 places: list[list[int]] = [[] for _ in range(batch.num_rows)]
-                for r, code in zip(row.tolist(), (~numbers[at]).tolist()):
-                    places[r].append(cold[r].setdefault(code, len(cold[r])))
-                spelt = list(fresh)
-                columns = [batch.column(0), parts, pa.array([[spelt[c] for c in x] for x in cold], pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))]
+                for r, code in zip(row.tolist(), A.gather(codes, np.dtype(np.int32), place)[0].tolist()):
+                    places[r].append(folds[r].setdefault(code, len(folds[r])))
+                spelt = [w.decode() for w in fresh]
+                columns = [batch.column(0), parts, pa.array([[spelt[c] for c in x] for x in folds], pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "parts", "cold", "places"])
 
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

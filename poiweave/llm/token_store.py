@@ -117,7 +117,7 @@ class Encoder:
             raw = _simplified(raw)
             starts, ends, first = A.without_marks(raw, starts, ends)
             rows = np.append(first, len(starts))[rows]
-        _, first, place = np.unique(A.hashes_of(raw, starts, ends, lower=False), return_index=True, return_inverse=True)
+        first, place, _ = A.distinct(A.hashes_of(raw, starts, ends, lower=False))
         data = raw.tobytes()
         keys = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
         ids = list(map(self.cache.get, keys))

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -343,8 +344,8 @@ def test_byte_bpe(docs, nothing, monkeypatch):
     path = P.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     e = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    for words, hot in ((byte_bpe.DICTIONARY, byte_bpe.HOT_WORDS), (6, 3), (0, 0)):  # where a word is encoded does not matter
-        monkeypatch.setattr(byte_bpe.dictionary, "__defaults__", ("text", words, byte_bpe.DICTIONARY_BYTES, hot))
+    for words in (byte_bpe.DICTIONARY, 6, 0):  # where a word is encoded does not matter
+        monkeypatch.setattr(byte_bpe.dictionary, "__defaults__", ("text", words, byte_bpe.DICTIONARY_BYTES))
         got = rows_of(byte_bpe.digests(docs, path, P.PATTERN))
     for i, t in enumerate(texts()):
         want = e.encode_ordinary(t or "")
@@ -360,7 +361,12 @@ def test_latin_pattern_splits_alike():
     for _ in range(3000):
         text = "".join(map(chr, rng.integers(0, 256, 30))) if rng.random() < 0.3 else "".join(rng.choice(list("ab's  \n\t\x1c\x85\xa0é5²½.-'tll"), 30))
         assert find(text) == simple(text)
-    assert byte_bpe.latin_pattern(r"\p{Lu}+") is None and not byte_bpe._latin("日") and byte_bpe._latin("ÿ")
+        texts_, split = [text, None, "", text[:7] + "日", " "], byte_bpe._splitter(P.PATTERN, byte_bpe.latin_pattern(P.PATTERN))
+        pieces, letters, _, place, rows = byte_bpe._pieces(pa.array(texts_, pa.string()), split, True)
+        for t, a, b in zip(texts_, rows, rows[1:]):
+            assert [w for p in place[a:b] for w in split(pieces[p].decode())] == find(t or "")
+        assert all(len(split(p.decode())) == 1 for p, whole in zip(pieces, letters) if whole)
+    assert byte_bpe.PLAIN == P.PATTERN and byte_bpe.latin_pattern(r"\p{Lu}+") is None and not byte_bpe._latin("日") and byte_bpe._latin("ÿ")
 
 
 def test_token_store(docs, nothing, monkeypatch):
