@@ -217,6 +217,13 @@ def test_readers(spark, tmp_path):
         reviews.place_index(index.drop("City"), "ord")
 
 
+def test_alias_titles(spark):
+    from poiweave.operators import diagnostics
+
+    rows = spark.createDataFrame([("a", "x", 9), ("a", "y", 12), ("b", "z", 8), ("a", "w", 9)], "slug string, title string, n long")
+    assert {r.slug: r.titles for r in diagnostics.alias_titles(rows).collect()} == {"a": ["y", "w", "x"], "b": ["z"]}
+
+
 def test_geocoder_with_cache():
     from poiweave.sources import geocode
 
@@ -261,6 +268,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
     places = read(out / "places")
     assert {p["place_id"] for p in places} == {"yelp:1", "reddit:cc", "wv:wien:cafe-central:48.20010,16.30000"} and {p["place_canonical_id"] for p in places} == {"cafe-central::wien"} or {p["place_canonical_id"] for p in places} == {"caf-central::wien"}
     assert len(read(out / "place_links")) == 3 and len(read(out / "place_canonical_map")) == 3 and len(read(out / "places_raw_csv")) == 4
+    assert {r["source"]: (r["n"], r["dropped"]) for r in read(out / "dropped")} == {"yelp": ("2", "1"), "reddit": ("1", "0"), "wikivoyage": ("1", "0")} and (out / "alias_suggestions").is_dir()
     told = spark.read.json(str(out / "place_reviews/*")).collect()
     assert sorted(r.source for r in told) == ["reddit", "wikivoyage", "yelp"]
 
