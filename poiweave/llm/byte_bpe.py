@@ -37,7 +37,7 @@ from poiweave.llm import arrays as A
 from poiweave.storage import discard, materialise
 
 #: Distinct words sent to the workers, at most, and bytes of their text; they take about 130 bytes each in a worker.
-DICTIONARY, DICTIONARY_BYTES = 1_390_000, 24 << 20
+DICTIONARY, DICTIONARY_BYTES = 1_500_000, 24 << 20
 #: In the fold: no merge, and the id of the pieces at the ends. No token has either number.
 _NONE, _EDGE = 65_535, 65_534
 #: Bytes of texts whose pieces are looked up together.
