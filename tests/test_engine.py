@@ -204,7 +204,7 @@ def test_readers(spark, tmp_path):
     for slug in ("x", "city_slug=y"):
         (tmp_path / "cities" / slug).mkdir(parents=True)
     (tmp_path / "cities/x/data.csv").write_text("place_id,lat\np1,1.5\n")
-    spark.createDataFrame([("p2", 2.5)], "place_id string, lat double").write.parquet(str(tmp_path / "p"))
+    spark.createDataFrame([("p2", 2.5)], "place_id string, lat double").coalesce(1).write.parquet(str(tmp_path / "p"))
     part = next((tmp_path / "p").glob("*.parquet"))
     part.rename(tmp_path / "cities/city_slug=y/data.parquet")
     got = files.read_city_folders(spark, str(tmp_path / "cities"), "place_id string, lat double, city_slug string, name string").collect()
