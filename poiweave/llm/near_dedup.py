@@ -45,7 +45,7 @@ FINE_SAMPLES, FINE_BITS = 2_048, 4_096
 BROADCAST_IDS = 1_000_000
 STAR_ROUNDS = 3
 #: To confirm, a block has as many pairs of one text, and as many shingles; in the last round, as many members of a bucket.
-BLOCK_PAIRS, BLOCK_SHINGLES, BLOCK_MEMBERS = 64, 1 << 20, 512
+BLOCK_PAIRS, BLOCK_SHINGLES, BLOCK_MEMBERS = 64, 1 << 20, 4_096
 
 
 def bands_for(threshold_pct: int, samples: int = SAMPLES) -> tuple[int, int]:
@@ -283,15 +283,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             members = materialise(members, "members")
             if members.isEmpty():
                 break
-            info = classes.join(links_of.fine(members), "rep").select("rep", F.struct("n", "sketch", "bands", "fine").alias("i"))
+            info = classes.join(links_of.fine(members), "rep").select("rep", F.struct("n", "sketch", "fine").alias("i"))
             held = members.join(info, "rep").join(main, "bucket")
             # the members of a bucket go to blocks; those outside its largest component meet every block
             block = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
             rest = held.where("part <> main").select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.struct("rep", "part", "main", "i").alias("x"))
             full = held.select("bucket", block.alias("block"), F.struct("rep", "part", "i").alias("y"))
-            # a pair counts in the first bucket that it shares
-            first = F.expr("get(x.i.bands, cast(array_position(zip_with(x.i.bands, y.i.bands, (p, q) -> p = q), true) as int) - 1) = bucket")
-            pairs = rest.join(full, ["bucket", "block"]).where("x.part <> y.part and (y.part = x.main or x.rep < y.rep)").where(links_of.near("x.i", "y.i") & links_of.near_fine("x.i", "y.i") & first)
+            pairs = rest.join(full, ["bucket", "block"]).where("x.part <> y.part and (y.part = x.main or x.rep < y.rep)").where(links_of.near("x.i", "y.i") & links_of.near_fine("x.i", "y.i"))
             pairs = pairs.select(*pair("x.rep", "y.rep")).distinct().join(tried, ["a", "b"], "left_anti")
         more = links_of.confirm(pairs)
         if more.isEmpty():
