@@ -1,4 +1,4 @@
-"""Elias-Fano sequences and a two-level n-gram trie of memory-mapped arrays, queried in batches."""
+"""Elias-Fano sequences and an n-gram trie of memory-mapped arrays, queried in batches."""
 
 from __future__ import annotations
 
@@ -122,31 +122,32 @@ def restore(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > 0, 10.0 ** (-(codes.astype(np.float64) - 1) * STEP), 0.0)
 
 
-class NgramTrie:
-    """Contexts and their successors.
+class TrieLevel:
+    """Contexts of one length and their successors.
 
-    Level 1 has a row for each context (contexts are numbered): ``pointers`` (Elias-Fano) says where its successors start, ``spent`` is the
-    probability that they have together, so that what is left goes to shorter contexts and the whole adds up to one.
-    Level 2: ``successors`` (Elias-Fano) holds context * words + word, so that the words of a context are stored relative to it and
-    found by successor search in its range; ``codes`` are the quantised discounted probabilities (count - DISCOUNT) / total of the context.
+    ``pointers`` (Elias-Fano) says where the successors of each context start; ``spent`` is the probability that they have together,
+    so that what is left goes to shorter contexts and the whole adds up to one. ``successors`` (Elias-Fano) holds context * words + word,
+    so that the words of a context are stored relative to it and found by successor search in its range; ``codes`` are the quantised
+    discounted probabilities (count - DISCOUNT) / total of the context. The place of a successor is its number as a context of the next level.
     """
 
     def __init__(self, words: int, pointers: EliasFano, successors: EliasFano, codes: np.ndarray, spent: np.ndarray):
         self.words, self.pointers, self.successors, self.codes, self.spent = words, pointers, successors, codes, spent
 
     @classmethod
-    def build(cls, totals: np.ndarray, words: int, keys: np.ndarray, counts: np.ndarray) -> NgramTrie:
+    def build(cls, totals: np.ndarray, words: int, keys: np.ndarray, counts: np.ndarray, own: np.ndarray | None = None) -> TrieLevel:
         """``totals``: count of each context. ``keys`` = context * words + word, sorted and distinct, with positive ``counts``; they
-        may be a part of a context's successors."""
+        may be a part of a context's successors. Those that are not ``own`` are spent elsewhere."""
         contexts = len(totals)
         context = (keys // _U(max(1, words))).astype(np.int64)
         starts = np.concatenate([[0], np.cumsum(np.bincount(context, minlength=contexts))])
         codes = quantise((counts - DISCOUNT) / totals[context]) if len(keys) else np.zeros(0, np.uint8)
-        spent = np.bincount(context, weights=restore(codes), minlength=contexts)
+        spent = np.bincount(context, weights=restore(codes) if own is None else restore(codes) * own, minlength=contexts)
         up = np.where(spent > 0, np.nextafter(spent.astype(np.float32), np.float32(2)), np.float32(0))
         return cls(words, EliasFano.build(starts, len(keys) + 1), EliasFano.build(keys, max(1, contexts * words)), codes, up)
 
     def save(self, folder: str) -> None:
+        os.makedirs(folder)
         self.pointers.save(os.path.join(folder, "pointers"))
         self.successors.save(os.path.join(folder, "successors"))
         np.concatenate([self.codes, [0]]).astype(np.uint8).tofile(os.path.join(folder, "codes"))
@@ -154,8 +155,8 @@ class NgramTrie:
         np.array([self.words], np.int64).tofile(os.path.join(folder, "words"))
 
     @classmethod
-    def load(cls, folder: str) -> NgramTrie:
-        """Map the levels of a saved trie."""
+    def load(cls, folder: str) -> TrieLevel:
+        """Map a saved level."""
         of = lambda name, kind: np.memmap(os.path.join(folder, name), kind, "r")[:-1]
         words = int(np.fromfile(os.path.join(folder, "words"), np.int64)[0])
         return cls(words, EliasFano.load(os.path.join(folder, "pointers")), EliasFano.load(os.path.join(folder, "successors")), of("codes", np.uint8), of("spent", np.float32))
@@ -165,13 +166,29 @@ class NgramTrie:
         return (self.pointers[index + 1] - self.pointers[index]).astype(np.int64)
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Codes of (context, word) pairs; 0 where unseen. Contexts without successors are not searched."""
+        """Places of (context, word) pairs; -1 where unseen."""
+        out = np.full(len(context), -1, np.int64)
         if not self.successors.n:
-            return np.zeros(len(context), np.uint8)
-        out = np.zeros(len(context), np.uint8)
-        some = np.flatnonzero(self.spent[context] > 0)
-        key = context[some].astype(_U) * _U(self.words) + word[some].astype(_U)
-        at = self.successors.successor(key)
-        inside = np.minimum(at, self.successors.n - 1)
-        out[some] = np.where((at < self.successors.n) & (self.successors[inside] == key), self.codes[inside], np.uint8(0))
+            return out
+        for a in range(0, len(context), 1 << 18):
+            key = context[a : a + (1 << 18)].astype(_U) * _U(self.words) + word[a : a + (1 << 18)].astype(_U)
+            at = self.successors.successor(key)
+            inside = np.minimum(at, self.successors.n - 1)
+            out[a : a + len(key)] = np.where((at < self.successors.n) & (self.successors[inside] == key), at, -1)
         return out
+
+
+class NgramTrie:
+    """Levels of contexts of one word, of two and so on; a successor at one level is a context of the next."""
+
+    def __init__(self, levels: list[TrieLevel]):
+        self.levels = levels
+
+    def save(self, folder: str) -> None:
+        for k, level in enumerate(self.levels):
+            level.save(os.path.join(folder, str(k)))
+
+    @classmethod
+    def load(cls, folder: str) -> NgramTrie:
+        """Map the levels of a saved trie."""
+        return cls([TrieLevel.load(os.path.join(folder, name)) for name in sorted(os.listdir(folder))])

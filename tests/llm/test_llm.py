@@ -316,6 +316,39 @@ def test_language_model(docs, nothing):
     assert lm_trie.score(nothing).count() == 0
 
 
+def triple_scores(tokens, train):
+    """The score of each row of tokens under words, pairs and triples of ``train``, in plain Python."""
+    c = collections.Counter(w for x in train for w in x)
+    grams = collections.Counter(g for x in train for k in (2, 3) for g in zip(*(([b""] + x)[i:] for i in range(k))))
+    total = collections.Counter()
+    for g, k in grams.items():
+        total[g[:-1]] += k
+    n, v = sum(c.values()), len(c)
+    seen = {g: 10 ** (-0.04 * math.ceil(-math.log10((k - 0.75) / total[g[:-1]]) / 0.04)) for g, k in grams.items()}
+    spent = collections.Counter()
+    for g, p in seen.items():
+        spent[g[:-1]] += p
+
+    def p(h, w):
+        return seen.get((*h, w), 0) + (1 - spent[h]) * p(h[1:], w) if h else (c[w] + 1) / (n + v + 1)
+
+    # one begin stands before each text
+    return {i: sum(math.log10(p(tuple(([b""] + x)[max(0, k - 1) : k + 1]), w)) for k, w in enumerate(x)) for i, x in tokens.items()}
+
+
+def test_language_model_of_triples(spark, docs, nothing):
+    """op4 scores by contexts of two words: a hot pair ('a b'), repeats, nulls; then the query's own table."""
+    tokens = {i: [*WORDS.findall(low(t)), b"\n"] for i, t in enumerate(texts())}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
+    train = [x for i, x in tokens.items() if not held[i]] + [[*b"null id text here".split(), b"\n"]] + ([tokens[1]] if not held[1] else [])
+    got, want = rows_of(lm_trie.score(docs, order=3)), triple_scores(tokens, train)
+    assert all(got[i].score == pytest.approx(want[i], rel=1e-6) and got[i].score <= 0 for i in want) and lm_trie.score(nothing, order=3).count() == 0
+    tokens = {r.doc_id: [*WORDS.findall(low(r.text)), b"\n"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    want = triple_scores(tokens, [x for i, x in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2])
+    got = rows_of(lm_trie.op4_query(spark, DATA))
+    assert got.keys() == want.keys() and all(got[i].score == pytest.approx(want[i], rel=1e-6) for i in want)
+
+
 def test_quantised_probabilities_round_down():
     p = np.concatenate([np.random.default_rng(0).random(10_000), 10.0 ** -np.arange(0, 12, 0.01)])
     q = restore(quantise(p))
