@@ -81,3 +81,24 @@ def test_unique_keys(spark):
     assert assert_unique(df, "a", "b") is df
     with pytest.raises(ValueError):
         assert_unique(df, "a")
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    """With many partitions a plan's shuffle files take more disk than its rows; they go when its table is written."""
+    import time
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from poiweave.storage import discard, materialise
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {str(p) for d in blocks.localDirs() for p in Path(d.getPath()).rglob("shuffle_*")}
+    before, counted = files(), spark.range(0, 1000, 1, 20).groupBy((F.col("id") % 10).alias("k")).count()
+    table = materialise(counted.join(counted.withColumnRenamed("count", "c"), "k"), "cleaned")
+    for _ in range(40):
+        if not (left := files() - before):
+            break
+        time.sleep(0.25)
+    assert not left and table.count() == 10
+    discard(table)
