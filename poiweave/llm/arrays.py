@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -152,6 +154,13 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[
         yield batch.slice(i, j - i)
 
 
+def trim() -> None:
+    """Give a worker's freed memory back to the system: workers are used again, and the C library keeps what it once had."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Rows and bytes of an Arrow batch, at most.
 BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 

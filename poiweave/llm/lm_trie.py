@@ -289,8 +289,10 @@ def _sender(shards: int, hot: np.ndarray, hot_pairs: np.ndarray, frequent: np.nd
                 if size >= BLOCK_TOKENS:
                     yield from messages(base + k, ids, held, token, starts)
                     ids, held, token, starts, size, k = [], [], [], [], 0, k + 1
+                    A.trim()
         if ids:
             yield from messages(base + k, ids, held, token, starts)
+            A.trim()
 
     return run
 
@@ -373,6 +375,7 @@ def _answer(table: pa.Table, frequent: np.ndarray) -> pa.Table:
     columns = list(zip(*out)) or [[]] * 6
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
     answer = pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["block", "kind", "shard", "blob", "tokens", "distinct"])
+    A.trim()
     return answer
 
 
@@ -413,6 +416,7 @@ def _finisher(shards: int, hot: np.ndarray, hot_pairs: np.ndarray, frequent: np.
             "n_known": pa.array(n_known), "train_tokens": pa.array(np.full(len(ids), tokens, np.int64)), "base_score": pa.array(base), "score": pa.array(add(np.log10(p, out=p))),
         })
         del block, own, answers, p
+        A.trim()
         return scores
 
     return run

@@ -349,6 +349,17 @@ def test_language_model_of_triples(spark, docs, nothing):
     assert got.keys() == want.keys() and all(got[i].score == pytest.approx(want[i], rel=1e-6) for i in want)
 
 
+def test_freed_memory_goes_back():
+    """A worker's freed memory, below memory still in use, is the system's again."""
+    rss = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096  # noqa: E731, SIM115
+    small = [np.ones(8_000) for _ in range(3_000)]  # 64 kB each: from the heap, not mapped one by one
+    last = np.ones(8_000)
+    del small
+    before = rss()
+    A.trim()
+    assert rss() < before - (100 << 20) and last.sum() == 8_000
+
+
 def test_quantised_probabilities_round_down():
     p = np.concatenate([np.random.default_rng(0).random(10_000), 10.0 ** -np.arange(0, 12, 0.01)])
     q = restore(quantise(p))
