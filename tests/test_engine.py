@@ -290,3 +290,35 @@ def test_command_line(spark, tmp_path, monkeypatch):
     spot = tmp_path / "spot"
     cli.main(["spotcheck", "--places", str(out / "places_raw"), "--links", str(out / "none"), "--out-dir", str(spot), "--city", "WIEN", "--ignored"])
     assert len(read(spot / "promote_suggested")) >= 0 and {p.name for p in spot.iterdir()} >= {"cross_borderline", "cross_riskiest", "same_weak_far", "same_low_sim", "promote_suggested", "sources"}
+
+
+def test_written_tables_make_few_files(spark):
+    """A table has its data files only: every other file starts a process that holds the JVM's memory for a moment."""
+    import os
+
+    from poiweave.storage import discard, materialise
+
+    table = materialise(spark.range(100).repartition(3), "few")
+    (folder,) = {f.rsplit("/", 1)[0].removeprefix("file:").replace("//", "") for f in table.inputFiles()}
+    assert table.count() == 100 and all(name.startswith("part-") for name in os.listdir(folder)) and len(os.listdir(folder)) == 3
+    discard(table)
+    assert not os.path.exists(folder)
+
+
+def test_the_driver_gives_memory_back(spark, monkeypatch):
+    """What the driver no longer needs leaves its heap when a table is written, but not at every one."""
+    from poiweave import storage
+
+    runtime, calls = spark._jvm.java.lang.Runtime.getRuntime(), []
+    waste = [spark.sparkContext._gateway.new_array(spark._jvm.long, 6_000_000) for _ in range(4)]
+    before = runtime.totalMemory() - runtime.freeMemory()
+    for array in waste:
+        spark.sparkContext._gateway.detach(array)
+    del waste, array
+    monkeypatch.setitem(storage._given, "at", float("-inf"))
+    real = storage.give_back
+    monkeypatch.setattr(storage, "give_back", lambda s: calls.append(1) or real(s))
+    storage.materialise(spark.range(3), "one")
+    assert runtime.totalMemory() - runtime.freeMemory() < before - 150_000_000
+    storage.materialise(spark.range(3), "two")
+    assert len(calls) == 1
