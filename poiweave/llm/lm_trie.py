@@ -25,6 +25,7 @@ texts get equal scores; a very long text is a block of its own; an empty table g
 from __future__ import annotations
 
 import tempfile
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -318,10 +319,10 @@ def _answer(table: pa.Table, frequent: np.ndarray) -> pa.Table:
         if kind == _OWN:
             out.append((block, _OWN, dest, blob.to_pybytes(), None, None))
         else:
-            mail.append((block, _expand(blob)))
+            mail.append((block, deque(_expand(blob))))  # each array goes as soon as it is joined to the others
     if mail:
         blocks = [(block, len(m[0]), len(m[5]), len(m[11])) for block, m in mail]
-        code, word, main, word_count, pairs_of, code2, low2, high2, main2, count2, triples_of, code3, low3, high3, count3 = (np.concatenate([m[k] for _, m in mail]) for k in range(15))
+        code, word, main, word_count, pairs_of, code2, low2, high2, main2, count2, triples_of, code3, low3, high3, count3 = (np.concatenate([m.popleft() for _, m in mail]) for _ in range(15))
         mail.clear()
         nodes, node_of = np.unique(_words_of(code, word, frequent), return_inverse=True)
         totals = _summed(node_of, word_count, len(nodes))

@@ -349,6 +349,34 @@ def test_language_model_of_triples(spark, docs, nothing):
     assert got.keys() == want.keys() and all(got[i].score == pytest.approx(want[i], rel=1e-6) for i in want)
 
 
+def test_a_shard_frees_messages_while_it_joins_them(monkeypatch):
+    """A shard's messages are not held a second time while their arrays are joined."""
+    import types
+    import weakref
+
+    monkeypatch.setattr(lm_trie, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(lm_trie, "BLOCK_TOKENS", 4)
+    none = np.zeros(0, np.uint64)
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["a b c d", "b c d e f", "a b"]), pa.array([False, True, False])], ["id", "text", "held"])
+    mail = pa.Table.from_batches(lm_trie._sender(1, np.array([lm_trie._BEGIN]), none, none, 3)(iter(rows.slice(k, 1) for k in range(3))))
+    alive, held, expand, join = [], [], lm_trie._expand, np.concatenate
+
+    def expanded(blob):
+        out = expand(blob)
+        alive.extend(map(weakref.ref, out))
+        return out
+
+    def joined(arrays, *args, **kwargs):
+        held.append(sum(x() is not None for x in alive))
+        return join(list(arrays), *args, **kwargs)
+
+    monkeypatch.setattr(lm_trie, "_expand", expanded)
+    monkeypatch.setattr(lm_trie.np, "concatenate", joined)
+    answer = lm_trie._answer(mail, none)
+    assert answer.num_rows == 7 and len(alive) == 45
+    assert held[:15] == sorted(held[:15], reverse=True) and held[14] < 10
+
+
 def test_freed_memory_goes_back():
     """A worker's freed memory, below memory still in use, is the system's again."""
     rss = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096  # noqa: E731, SIM115
