@@ -23,7 +23,6 @@ from __future__ import annotations
 import base64
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,7 +40,7 @@ DICTIONARY, DICTIONARY_BYTES = 1_500_000, 24 << 20
 #: In the fold: no merge, and the id of the pieces at the ends. No token has either number.
 _NONE, _EDGE = 65_535, 65_534
 #: Bytes of texts whose pieces are looked up together.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 2_000_000
 #: Words of more characters (blobs without a break) are merged by a heap in the worker: a fold over
 #: arrays takes time with the square of the length.
 LONG_WORD = 400
@@ -305,8 +304,8 @@ def _pieces(column: pa.Array, split, plain: bool) -> tuple[list[bytes], np.ndarr
     return [data[x:y] for x, y in zip(a.tolist(), b.tolist())], (marks[b] == marks[bare]) & (bare < b), counts, place, rows
 
 
-#: Distinct words that a task counts before it hands them on.
-COUNTED = 400_000
+#: Distinct pieces that a task counts before it hands their words on.
+COUNTED = 450_000
 
 
 def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
@@ -314,29 +313,42 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
     latin = latin_pattern(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = _splitter(pattern, latin), Counter()
+        split, number = _splitter(pattern, latin), {}  # pieces get numbers as they come, and are split into words at the end
+        total, whole_words = np.zeros(0, np.int64), []
 
         def rows() -> Iterator[pa.RecordBatch]:
+            seen = dict(zip(number, total.tolist()))
+            rest = np.flatnonzero(~np.concatenate([np.zeros(0, bool), *whole_words]))
+            pieces = list(number)
+            for piece, n in [(pieces[k], seen.pop(pieces[k])) for k in rest.tolist()]:
+                for word in map(str.encode, split(piece.decode())):
+                    seen[word] = seen.get(word, 0) + n
+            number.clear(), whole_words.clear()
             words = list(seen)
             for a in range(0, len(words), 1 << 16):
                 some = words[a : a + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()).cast(pa.string()), pa.array(map(seen.__getitem__, some), pa.int64())], ["word", "n"])
-            seen.clear()
 
         for whole in batches:
             for batch in A.slices(whole, 0, SLICE_BYTES):
                 pieces, letters, counts, _, _ = _pieces(batch.column(0), split, pattern == PLAIN)
-                for piece, whole_word, n in zip(pieces, letters.tolist(), counts.tolist()):
-                    if whole_word:
-                        seen[piece] += n
-                    else:
-                        for word in split(piece.decode()):
-                            seen[word.encode()] += n
-                if len(seen) > COUNTED:
+                at = list(map(number.get, pieces))
+                new = [k for k, x in enumerate(at) if x is None]
+                for k, x in enumerate(new, len(number)):
+                    at[x] = k
+                number.update(zip([pieces[k] for k in new], range(len(number), len(number) + len(new))))
+                whole_words.append(letters[new])
+                if len(number) > len(total):
+                    total = np.concatenate([total, np.zeros(len(number), np.int64)])
+                total[at] += counts
+                if len(number) > COUNTED:
                     yield from rows()
+                    total = np.zeros(0, np.int64)
         yield from rows()
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # a task's words are distinct: nothing to add up before they are dealt
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").repartition("word")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text", limit: int = DICTIONARY, limit_bytes: int = DICTIONARY_BYTES) -> list[bytes]:
@@ -422,7 +434,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 pieces, letters, _, place, rows = _pieces(batch.column(1), split, pattern == PLAIN)
                 ids = list(map(get, pieces))
                 fresh: dict[bytes, int] = {}  # words to fold; in the ids, _NONE stands for each
-                codes = [b""] * len(pieces)
+                codes, coded = [], np.full(len(pieces), -1)
                 for k in [k for k, x in enumerate(ids) if x is None]:
                     own, code = [], []
                     for word in [pieces[k]] if letters[k] else [w.encode() for w in split(pieces[k].decode())]:
@@ -434,12 +446,14 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                         own.append(got or cold)
                     ids[k] = b"".join(own)
                     if code:
-                        codes[k] = np.array(code, np.int32).tobytes()
+                        coded[k] = len(codes)
+                        codes.append(np.array(code, np.int32).tobytes())
                 numbers, done = A.gather(ids, np.dtype("<u2"), place)
                 parts, row = _parted(numbers, done[rows[1:]])
                 folds: list[dict[int, int]] = [{} for _ in range(batch.num_rows)]
                 places: list[list[int]] = [[] for _ in range(batch.num_rows)]
-                for r, code in zip(row.tolist(), A.gather(codes, np.dtype(np.int32), place)[0].tolist()):
+                cold_at = coded[place]
+                for r, code in zip(row.tolist(), A.gather(codes, np.dtype(np.int32), cold_at[cold_at >= 0])[0].tolist()):
                     places[r].append(folds[r].setdefault(code, len(folds[r])))
                 spelt = [w.decode() for w in fresh]
                 columns = [batch.column(0), parts, pa.array([[spelt[c] for c in x] for x in folds], pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))]

@@ -426,6 +426,45 @@ def test_byte_bpe(docs, nothing, monkeypatch):
     assert byte_bpe.digests(nothing, path, P.PATTERN).count() == 0
 
 
+def test_word_counts_of_split_pieces(spark, monkeypatch):
+    """Pieces are counted over slices and split once, at the end; equal words of several pieces and of several hand-overs are added up."""
+    import public_tokenizers as P
+
+    all_texts = ["ab ab!! ab,!! cd's don't, 12x \u00e9t\u00e9, \u4e2d\u6587 ab\n\n  x", None, "", "!! ab!!, ab,", "x " * 50] * 3
+    want = collections.Counter(w for t in all_texts for w in regex.findall(P.PATTERN, t or ""))
+    monkeypatch.setattr(byte_bpe, "SLICE_BYTES", 40)
+    table = spark.createDataFrame([(t,) for t in all_texts], "text string").coalesce(1)
+    for counted in (byte_bpe.COUNTED, 3):
+        monkeypatch.setattr(byte_bpe, "COUNTED", counted)
+        assert {r.word: r.n for r in byte_bpe.word_counts(table, P.PATTERN).collect()} == want
+
+
+def test_pieces_of_a_task_are_split_once(monkeypatch):
+    """Of equal pieces in several slices one is split."""
+    import public_tokenizers as P
+
+    class Docs:
+        def select(self, _):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+        repartition = groupBy = agg = select
+
+    splits, real = [], byte_bpe._splitter(P.PATTERN, byte_bpe.latin_pattern(P.PATTERN))
+    monkeypatch.setattr(byte_bpe, "_splitter", lambda *_: lambda t: splits.append(t) or real(t))
+    monkeypatch.setattr(byte_bpe, "SLICE_BYTES", 20)
+    docs = Docs()
+    monkeypatch.setattr(byte_bpe.F, "col", lambda _: docs)
+    monkeypatch.setattr(byte_bpe.F, "sum", lambda _: docs)
+    docs.alias = docs.select
+    byte_bpe.word_counts(docs, P.PATTERN)
+    out = list(docs.run(iter([pa.RecordBatch.from_arrays([pa.array(["good%%% word"] * 9)], ["text"])])))
+    assert splits.count("good%%%") == 1 and {w: n for b in out for w, n in zip(*(c.to_pylist() for c in b.columns))} == {"good": 9, "%%%": 9, " word": 9}
+
+
 def test_latin_pattern_splits_alike():
     import public_tokenizers as P
 
