@@ -31,6 +31,19 @@ def _unpack(words: np.ndarray, width: int, index: np.ndarray) -> np.ndarray:
     return (low | high) & _U((1 << width) - 1)
 
 
+def _nth_bit(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th (from 0) set bit of each 64-bit word, by halves; every word has one."""
+    words, k, place = np.array(words), k.astype(np.uint8), np.zeros(len(words), np.uint8)
+    for half in (32, 16, 8, 4, 2, 1):
+        low = np.bitwise_count(words & _U((1 << half) - 1))
+        above = (k >= low).astype(np.uint8)
+        k -= low * above
+        above *= np.uint8(half)
+        place += above
+        words >>= above.astype(_U)
+    return place
+
+
 class EliasFano:
     """A non-decreasing sequence: low bits packed, high bits in unary with a rank directory per word."""
 
@@ -72,8 +85,7 @@ class EliasFano:
         out = np.empty(len(k), dtype=np.int64)
         for a in range(0, len(k), 1 << 15):
             w = self.high[word[a : a + (1 << 15)]]
-            bits = np.unpackbits((~w if zeros else w).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            out[a : a + len(w)] = np.argmax(np.cumsum(bits, axis=1, dtype=np.uint8) > rest[a : a + len(w), None], axis=1)
+            out[a : a + len(w)] = _nth_bit(~w if zeros else w, rest[a : a + len(w)])
         return word * 64 + out
 
     def __getitem__(self, index: np.ndarray) -> np.ndarray:

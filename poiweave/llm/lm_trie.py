@@ -143,9 +143,17 @@ def _expand(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def _once(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order; ``values`` are sorted in place. NumPy's own way goes through a set of hashes, several times slower here."""
+    values.sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
 def _dealt(main: np.ndarray, item: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Things in order of (shard, number), their shards and whether it is their main one; ``item`` are also known to ``shard``."""
-    key = np.unique(np.concatenate([main.astype(np.int64) * len(main) + np.arange(len(main)), shard.astype(np.int64) * len(main) + item]))
+    key = _once(np.concatenate([main.astype(np.int64) * len(main) + np.arange(len(main)), shard.astype(np.int64) * len(main) + item]))
     at, of = (key % len(main)).astype(np.int32), (key // len(main)).astype(np.int32)
     return at, of, main[at] == of
 
@@ -199,7 +207,7 @@ class _Block:
 
     def parts(self) -> Iterator[tuple[int, slice, slice, slice]]:
         """(shard, its nodes, its pairs, its triples)."""
-        some = np.unique(self.node_shard)
+        some = _once(self.node_shard.copy())
         ends = [(np.searchsorted(x, some), np.searchsorted(x, some, side="right")) for x in (self.node_shard, self.pair_shard, self.triple_shard)]
         for k, s in enumerate(some):
             yield int(s), *(slice(a[k], b[k]) for a, b in ends)
@@ -224,6 +232,12 @@ def _words_of(code: np.ndarray, rare: np.ndarray, frequent: np.ndarray) -> np.nd
     return out
 
 
+def _keeper(block_id: int, shards: int) -> int:
+    """The shard that a block's own tokens pass through. By hash: the numbers of first blocks are all multiples of 1 << 24, and as many shards
+    as a power of two would leave them all to shard 0."""
+    return int(A.mix(np.array([block_id], np.uint64))[0] % np.uint64(shards))
+
+
 def _sender(shards: int, hot: np.ndarray, hot_pairs: np.ndarray, frequent: np.ndarray, order: int):
     """Documents to messages: (dest, block, kind, blob). Mail goes to shards; a block's own tokens pass through one of them."""
 
@@ -255,7 +269,7 @@ def _sender(shards: int, hot: np.ndarray, hot_pairs: np.ndarray, frequent: np.nd
         def batch() -> pa.RecordBatch:
             n = len(dest)
             kinds = [_OWN if k < 0 else _MAIL for k in dest]
-            out = [pa.array([block_id % shards if k < 0 else k for k in dest], pa.int32()), pa.array([block_id] * n, pa.int64()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())]
+            out = [pa.array([_keeper(block_id, shards) if k < 0 else k for k in dest], pa.int32()), pa.array([block_id] * n, pa.int64()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())]
             return pa.RecordBatch.from_arrays(out, ["dest", "block", "kind", "blob"])
 
         own = _squeeze(np.array([-1 if i is None else i for i in ids], np.int64).view(np.uint64), np.array([i is None for i in ids], "u1"), held.astype("u1"), sizes.astype("<u4"), code, words[code == 0], number.astype("<u4"))

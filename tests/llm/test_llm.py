@@ -286,6 +286,23 @@ def test_elias_fano():
         assert (e[np.arange(n)] == v).all() and (e.successor(q) == np.searchsorted(v, q)).all()
 
 
+def test_bits_in_words_and_distinct_values(monkeypatch):
+    """Bits are found at every place of a word, without a row of 64 numbers for each; distinct values come in order, of none too."""
+    from poiweave.llm import elias_fano
+
+    words = np.concatenate([np.random.default_rng(5).integers(0, 1 << 64, 200, np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64), [np.uint64(2**64 - 1)]])
+    places = [[i for i in range(64) if int(w) >> i & 1] for w in words]
+    each, k = np.repeat(words, [len(x) for x in places]), np.concatenate([np.arange(len(x)) for x in places])
+    kept = each.copy()
+    assert elias_fano._nth_bit(each, k).tolist() == [i for x in places for i in x] and (each == kept).all()
+    values = np.sort(np.random.default_rng(6).integers(0, 9_000, 3_000)).astype(np.uint64)
+    monkeypatch.setattr(elias_fano.np, "unpackbits", None)
+    got = EliasFano.build(values, 9_000)
+    assert (got[np.arange(3_000)] == values).all() and (got.successor(np.arange(9_000)) == np.searchsorted(values, np.arange(9_000))).all()
+    for x in (np.array([5, 3, 5, 3, 9, 0]), np.zeros(0, np.int32), np.full(4, 7, np.int32)):
+        assert lm_trie._once(x.copy()).tolist() == sorted(set(x.tolist())) and lm_trie._once(x.copy()).dtype == x.dtype
+
+
 def test_language_model(docs, nothing):
     tokens = {i: [*WORDS.findall(low(t)), b"\n"] for i, t in enumerate(texts())}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
@@ -377,6 +394,25 @@ def test_a_shard_frees_messages_while_it_joins_them(monkeypatch):
     assert held[:15] == sorted(held[:15], reverse=True) and held[14] < 10
 
 
+def test_own_tokens_of_blocks_are_spread_over_shards(monkeypatch):
+    """What blocks keep for themselves is dealt to all shards, also to as many as a power of two; none takes much more than its part."""
+    import types
+    from collections import Counter
+
+    task = types.SimpleNamespace(partitionId=lambda: 0)
+    monkeypatch.setattr(lm_trie, "TaskContext", types.SimpleNamespace(get=lambda: task))
+    monkeypatch.setattr(lm_trie, "BLOCK_TOKENS", 4)
+    none = np.zeros(0, np.uint64)
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["a b c d", "b c d e f", "a b c"]), pa.array([False, True, False])], ["id", "text", "held"])
+    for shards in (7, 8, 16):
+        dealt = Counter()
+        for k in range(64):
+            task.partitionId = lambda k=k: k
+            for batch in lm_trie._sender(shards, np.array([lm_trie._BEGIN]), none, none, 3)(iter(rows.slice(i, 1) for i in range(3))):
+                dealt.update(x["dest"] for x in batch.to_pylist() if x["kind"] == lm_trie._OWN)
+        assert set(dealt) == set(range(shards)) and sum(dealt.values()) == 192 and max(dealt.values()) <= 2 * 192 / shards, dealt
+
+
 def test_freed_memory_goes_back():
     """A worker's freed memory, below memory still in use, is the system's again."""
     rss = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096  # noqa: E731, SIM115
