@@ -137,14 +137,17 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order[at], number, np.diff(np.append(at, len(values)))
 
 
+def ranges(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of an array end to end, and where each one begins (one more entry closes)."""
+    done = np.concatenate([[0], np.cumsum(sizes)])
+    return flat[np.repeat(starts - done[:-1], sizes) + np.arange(done[-1])], done
+
+
 def gather(parts: list[bytes], kind: np.dtype, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of parts (bytes of ``kind``) end to end, in the order ``place``, and where each one begins (one more entry closes)."""
     flat = np.frombuffer(b"".join(parts), kind)
     size = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(kind).itemsize
-    each = size[place]
-    done = np.concatenate([[0], np.cumsum(each)])
-    where = np.repeat((np.cumsum(size) - size)[place] - done[:-1], each) + np.arange(done[-1])
-    return flat[where], done
+    return ranges(flat, (np.cumsum(size) - size)[place], size[place])
 
 
 def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with Spark higher-order functions.
 
 ``fold_words`` encodes a word in the JVM: its bytes are the first pieces, and an ``aggregate`` folds merges over
-them, each time the leftmost adjacent pair of least rank, looked up in a literal rank map (a literal hash table over pairs
-of ids, since Spark searches a map linearly). ``decode`` looks every id up in a literal array of binary pieces and concatenates them.
+them, each time the leftmost adjacent pair of least rank, looked up in a literal table over pairs of ids (Spark searches a map
+linearly). ``decode`` looks every id up in a literal array of binary pieces and concatenates them.
 
 Words repeat, so distinct words are folded, not tokens. One pass counts the words of the corpus; those that
 occur more than once, the most frequent first (at most DICTIONARY of them and DICTIONARY_BYTES, bounds on memory, not on rows),
@@ -54,9 +54,9 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def _pair_table(path: str) -> tuple[int, int, list[int]]:
-    """The rank map by pairs of ids: two moduli and a table. The pair (a, b) has the key a * 65536 + b, and its entry, key * 65536 + rank,
-    is at the key's remainder by one of the moduli (cuckoo hashing); the rank of a merge is also the id it makes.
+def _pair_table(path: str) -> list[int]:
+    """The rank map by pairs of ids. At a stands where the row of a begins, and b places on the merge of (a, b): a * 2**17 plus its rank, which is
+    also the id it makes. Rows lie between each other (row displacement), so a place may hold another row's merge: only its own has that a.
     """
     ranks, entries = load_ranks(path), {}
     if max(ranks.values()) >= _EDGE:
@@ -65,30 +65,33 @@ def _pair_table(path: str) -> tuple[int, int, list[int]]:
         for k in range(1, len(token)):
             a, b = ranks.get(token[:k]), ranks.get(token[k:])
             if a is not None and b is not None:
-                entries[a << 16 | b] = rank
-    size = max(1 << 10, 5 * len(entries) // 2) | 1
-    while True:
-        moduli, table = (size, size - 2), [0] * size
-        if all(_settle(table, key << 16 | rank, moduli) for key, rank in entries.items()):
-            return *moduli, table
-        size = size * 9 // 8 | 1
-
-
-def _settle(table: list[int], entry: int, moduli: tuple[int, int]) -> bool:
-    """Put an entry into its place, whose holder moves to its other place, and so on."""
-    turn = 0
-    for _ in range(200):
-        at = (entry >> 16) % moduli[turn]
-        entry, table[at] = table[at], entry
-        if not entry:
-            return True
-        turn = 1 if (entry >> 16) % moduli[0] == at else 0
-    return False
+                entries.setdefault(a, {})[b] = rank
+    wide = _NONE + 1  # places of a row, and of the starts
+    table, begin = np.full(wide + 4 * wide, _NONE << 17), np.full(wide, wide)
+    free, low = np.ones(len(table), bool), wide
+    free[:wide] = False
+    for a, row in sorted(entries.items(), key=lambda x: -len(x[1])):
+        places = np.fromiter(row, np.int64, len(row))
+        least, places = places.min(), places - places.min()
+        low += int(np.argmax(free[low:]))  # nothing is free before
+        at = max(low, wide + least)
+        while True:  # where all its places are free
+            if at + 2 * wide > len(table):
+                table, free = np.append(table, np.full(len(table), _NONE << 17)), np.append(free, np.ones(len(free), bool))
+            fits = np.logical_and.reduce([free[at + x : at + x + 4096] for x in places.tolist()])
+            if fits.any():
+                break
+            at += 4096
+        at += int(np.argmax(fits))
+        begin[a], free[at + places] = at - least, False
+        table[at + places] = np.fromiter(row.values(), np.int64, len(row)) + (a << 17)
+    table[:wide] = begin
+    return table[: begin.max() + wide].tolist()
 
 
 def rank_map(path: str) -> Column:
     """The table of the literal rank map; constant folding turns the JSON text into a literal once."""
-    return F.from_json(F.lit(json.dumps(_pair_table(path)[2], separators=(",", ":"))), "array<bigint>")
+    return F.from_json(F.lit(json.dumps(_pair_table(path), separators=(",", ":"))), "array<bigint>")
 
 
 @lru_cache(maxsize=2)
@@ -112,50 +115,56 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_words(words: Column, path: str) -> Column:
-    """The ids of each of an array of non-empty words.
+    """The ids of each of an array of non-empty words of less than 16,383 bytes.
 
-    The state is an array of pieces, each one number: rank of the merge with the next piece, where the piece starts, its id. So the
-    least number is the leftmost merge of least rank. A piece without a meaning stands at either end.
+    The state is an array with a place for each byte and one at either end. A piece stands where it starts, as one number: rank of the merge
+    with the next piece, start, length, id. So the least number is the leftmost merge of least rank, and the next piece is found by the
+    length. The places a piece covers hold it too, without a merge, so the piece before is found in the place before. Nothing moves:
+    a merge is one ``transform``, since slices and new arrays take most of the time.
     """
     ranks = load_ranks(path)
-    single = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<int>")
-    moduli = _pair_table(path)[:2]
-    top = 1 << 36
-    first, last = _NONE << 36 | _EDGE, _NONE << 36 | top - 65536 | _EDGE
+    single = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<bigint>")
+    field = (1 << 14) - 1
+    no_merge = 1 << 17 << 44
+    first, last = no_merge | field << 30 | _EDGE, no_merge | _EDGE  # their starts are not where they stand
 
-    def rank(t: Column, a: Column, b: Column) -> Column:
-        def look(key: Column) -> Column:
-            one, two = (F.get(t, (key % m).cast("int")) for m in moduli)
-            value = lambda e: e.bitwiseAND(F.lit(65535))
-            return F.when(F.shiftright(one, 16) == key, value(one)).when(F.shiftright(two, 16) == key, value(two)).otherwise(F.lit(_NONE))
+    def rank(t: Column, a: Column, b: Column) -> Column:  # 2**17 if the pair makes no token
+        return F.least(t[t[a] + b].bitwiseXOR(F.shiftleft(a, 17)), F.lit(1 << 17))
 
-        return _let(a * 65536 + b, look)
+    def id_of(y: Column) -> Column:
+        return y.bitwiseAND(F.lit(65535))
+
+    def start_of(y: Column) -> Column:
+        return F.shiftright(y, 30).bitwiseAND(F.lit(field)).cast("int")
+
+    def length_of(y: Column) -> Column:
+        return F.shiftright(y, 16).bitwiseAND(F.lit(field)).cast("int")
 
     def merge(t: Column, ids: Column) -> Column:
         def step(state: Column, _: Column) -> Column:
-            def put(x: Column) -> Column:  # least number, its place from 0, the piece before it, the id after the next
-                new = F.shiftright(x[0], 36)
-                left = x[2].bitwiseAND(F.lit(top - 1)).bitwiseOR(F.shiftleft(rank(t, x[2].bitwiseAND(F.lit(65535)), new), 36))
-                here = x[0].bitwiseAND(F.lit(top - 65536)).bitwiseOR(new).bitwiseOR(F.shiftleft(rank(t, new, x[3]), 36))
-                moved = lambda made, at: F.transform(F.filter(state, lambda _, i: i != at + 1), lambda y, i: F.when(i == at, made[1]).when(i == at - 1, made[0]).otherwise(y))
-                return _let(x[1].cast("int"), lambda at: _let(F.array(left, here), lambda made: moved(made, at)))
-
-            def found(x: Column) -> Column:  # the place is the number of pieces that start before (array_position leaves its loop by an exception)
-                at = F.size(F.filter(state, lambda y: y.bitwiseAND(F.lit(top - 1)) < x[1])).cast("long")
-                look = lambda at: F.array(x[0], at, F.get(state, at.cast("int") - 1), F.get(state, at.cast("int") + 2).bitwiseAND(F.lit(65535)))
-                return F.when(x[0] < _NONE << 36, _let(_let(at, look), put)).otherwise(state)
-
-            return _let(_let(F.array_min(state), lambda least: F.array(least, least.bitwiseAND(F.lit(top - 1)))), found)
-
-        n = F.size(ids)
-        pieces = F.transform(ids, lambda a, i: rank(t, a.cast("long"), F.coalesce(F.get(ids, i + 1), F.lit(_EDGE))) * top + (i + 1).cast("long") * 65536 + a)
-        start = F.flatten(F.array(F.array(F.lit(first)), pieces, F.array(F.lit(last))))
-        done = F.aggregate(F.sequence(F.lit(2), n), start, step)
-        return _let(done, lambda x: F.transform(F.slice(x, F.lit(2), F.size(x) - 2), lambda y: y.bitwiseAND(F.lit(65535)).cast("int")))
+            def put(least: Column, at: Column, end: Column, left: Column, left_at: Column) -> Column:  # end: the place after both
+                new = F.shiftright(least, 44)
+                made = least.bitwiseAND(F.lit(field << 30)).bitwiseOR(F.shiftleft(end - at, 16).cast("long")).bitwiseOR(new)
+                here = made.bitwiseOR(F.shiftleft(rank(t, new, id_of(state[end])), 44))
+                before = left.bitwiseAND(F.lit((1 << 44) - 1)).bitwiseOR(F.shiftleft(rank(t, id_of(left), new), 44))
+                kept = lambda y, i: F.when(i < at, F.when(i == left_at, before).otherwise(y)).when(i >= end, y)
+                return F.transform(state, lambda y, i: kept(y, i).when(i == at, here).otherwise(made.bitwiseOR(F.lit(no_merge))))
+
+            def found(least: Column) -> Column:
+                upto = lambda at: _let(at + length_of(least), lambda second: second + length_of(state[second]))
+                merged = lambda at: _let(upto(at), lambda end: _let(state[at - 1], lambda left: _let(start_of(left), lambda x: put(least, at, end, left, x))))
+                return F.when(least < no_merge, _let(start_of(least), merged)).otherwise(state)
+
+            return _let(F.array_min(state), found)
+
+        piece = lambda a, i: F.shiftleft(rank(t, a, F.coalesce(F.get(ids, i + 1), F.lit(_EDGE))), 44) + (i + 1).cast("long") * (1 << 30) + 65536 + a
+        start = F.flatten(F.array(F.array(F.lit(first)), F.transform(ids, piece), F.array(F.lit(last))))
+        done = F.aggregate(F.sequence(F.lit(2), F.size(ids)), start, step)
+        return F.transform(F.filter(done, lambda y, i: start_of(y) == i), lambda y: id_of(y).cast("int"))
 
     def word(t: Column, s: Column, w: Column) -> Column:
         octets = F.split(F.decode(F.encode(w, "UTF-8"), "ISO-8859-1"), "")
-        return _let(F.transform(octets, lambda c: F.get(s, F.ascii(c))), lambda ids: F.when(F.size(ids) > 1, merge(t, ids)).otherwise(ids))
+        return _let(F.transform(octets, lambda c: F.get(s, F.ascii(c))), lambda ids: F.when(F.size(ids) > 1, merge(t, ids)).otherwise(ids.cast("array<int>")))
 
     return _let(rank_map(path), lambda t: _let(single, lambda s: F.transform(words, lambda w: word(t, s, w))))
 
@@ -273,9 +282,9 @@ def _ranges(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return a[order], b[order]
 
 
-def _pieces(column: pa.Array, split, plain: bool) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pieces of a column's texts, which of them are letters only, how often each occurs, the place of every piece among them, and
-    the first piece of each row."""
+def _piece_ranges(column: pa.Array, split, plain: bool) -> tuple[np.ndarray, ...]:
+    """Distinct pieces of a column's texts (an array of bytes, where each starts and ends in it, their hashes, which are in order), which of them
+    are letters only, how often each occurs, the place of every piece among them, and the first piece of each row."""
     raw, offsets = A.strings(column)
     odd = _odd_rows(raw, offsets) if plain else np.arange(len(offsets) - 1)
     if plain:
@@ -297,11 +306,57 @@ def _pieces(column: pa.Array, split, plain: bool) -> tuple[list[bytes], np.ndarr
         starts, ends = np.concatenate([*a, starts[upto:]]), np.concatenate([*b, ends[upto:]])
         rows = np.concatenate([[0], np.cumsum(sizes)])
         raw = np.concatenate([raw, np.frombuffer(b"".join(more), np.uint8)])
-    first, place, counts = A.distinct(A.hashes_of(raw, starts, ends, lower=False))
-    data, a, b = raw.tobytes(), starts[first], ends[first]
+    hashes = A.hashes_of(raw, starts, ends, lower=False)
+    first, place, counts = A.distinct(hashes)
+    a, b = starts[first], ends[first]
     marks = np.concatenate([[0], np.cumsum(_NO_LETTER[raw] | _no_second(raw))])
     bare = a + (raw[a] == 0x20) if len(a) else a
-    return [data[x:y] for x, y in zip(a.tolist(), b.tolist())], (marks[b] == marks[bare]) & (bare < b), counts, place, rows
+    return raw, a, b, hashes[first], (marks[b] == marks[bare]) & (bare < b), counts, place, rows
+
+
+def _pieces(column: pa.Array, split, plain: bool) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same with the pieces as a list."""
+    raw, a, b, _, *rest = _piece_ranges(column, split, plain)
+    data = raw.tobytes()
+    return [data[x:y] for x, y in zip(a.tolist(), b.tolist())], *rest
+
+
+def _same(raw: np.ndarray, starts: np.ndarray, others: np.ndarray, other_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether ranges of two arrays hold the same bytes."""
+    out = np.ones(len(sizes), bool)
+    for k in range(0, len(sizes), 1 << 16):
+        part = slice(k, k + (1 << 16))
+        one, begin = A.ranges(raw, starts[part], sizes[part])
+        other = np.flatnonzero(one != A.ranges(others, other_starts[part], sizes[part])[0])
+        out[k + np.searchsorted(begin, other, side="right") - 1] = False
+    return out
+
+
+def _added_up(some: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Hashes, sizes, counts, a flag and bytes of words, of which equal ones (the same bytes, not only the same hash) become one with all their counts."""
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.uint8)
+    hashes, sizes, counts, flags, raw = (np.concatenate(x) for x in zip(none, *some))
+    order, starts = np.argsort(hashes, kind="stable"), np.cumsum(sizes) - sizes
+    one, two = order[:-1], order[1:]
+    like = np.flatnonzero((hashes[one] == hashes[two]) & (sizes[one] == sizes[two]))
+    new = np.ones(len(order), bool)
+    new[like[_same(raw, starts[one[like]], raw, starts[two[like]], sizes[one[like]])] + 1] = False
+    first = order[new]
+    if not len(first):
+        return none
+    text = np.concatenate([A.ranges(raw, starts[x], sizes[x])[0] for x in np.array_split(first, len(first) // 65536 + 1)])
+    return hashes[first], sizes[first], np.add.reduceat(counts[order], np.flatnonzero(new)), flags[first], text
+
+
+#: The dictionary of this worker.
+_KEPT: dict = {}
+
+
+def _forget() -> None:
+    """Drop the dictionary of an earlier run."""
+    if _KEPT:
+        _KEPT.clear()
+        A.trim()
 
 
 #: Distinct pieces that a task counts before it hands their words on.
@@ -313,38 +368,35 @@ def word_counts(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
     latin = latin_pattern(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, number = _splitter(pattern, latin), {}  # pieces get numbers as they come, and are split into words at the end
-        total, whole_words = np.zeros(0, np.int64), []
+        _forget()
+        split = _splitter(pattern, latin)
+        some: list[tuple[np.ndarray, ...]] = []  # hashes, sizes, counts, whether letters only, and bytes of pieces, which are split into words at the end
+        added = 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            seen = dict(zip(number, total.tolist()))
-            rest = np.flatnonzero(~np.concatenate([np.zeros(0, bool), *whole_words]))
-            pieces = list(number)
-            for piece, n in [(pieces[k], seen.pop(pieces[k])) for k in rest.tolist()]:
-                for word in map(str.encode, split(piece.decode())):
+            _, sizes, counts, letters, raw = _added_up(some)
+            ends, data = np.cumsum(sizes), raw.tobytes()
+            pieces, seen = [data[x:y] for x, y in zip((ends - sizes).tolist(), ends.tolist())], {}
+            for piece, whole_word, n in zip(pieces, letters.tolist(), counts.tolist()):
+                for word in [piece] if whole_word else map(str.encode, split(piece.decode())):
                     seen[word] = seen.get(word, 0) + n
-            number.clear(), whole_words.clear()
+            some.clear()
             words = list(seen)
             for a in range(0, len(words), 1 << 16):
-                some = words[a : a + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()).cast(pa.string()), pa.array(map(seen.__getitem__, some), pa.int64())], ["word", "n"])
+                part = words[a : a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()).cast(pa.string()), pa.array(map(seen.__getitem__, part), pa.int64())], ["word", "n"])
 
         for whole in batches:
             for batch in A.slices(whole, 0, SLICE_BYTES):
-                pieces, letters, counts, _, _ = _pieces(batch.column(0), split, pattern == PLAIN)
-                at = list(map(number.get, pieces))
-                new = [k for k, x in enumerate(at) if x is None]
-                for k, x in enumerate(new, len(number)):
-                    at[x] = k
-                number.update(zip([pieces[k] for k in new], range(len(number), len(number) + len(new))))
-                whole_words.append(letters[new])
-                if len(number) > len(total):
-                    total = np.concatenate([total, np.zeros(len(number), np.int64)])
-                total[at] += counts
-                if len(number) > COUNTED:
-                    yield from rows()
-                    total = np.zeros(0, np.int64)
+                raw, a, b, hashes, letters, counts, _, _ = _piece_ranges(batch.column(0), split, pattern == PLAIN)
+                some.append((hashes, b - a, counts, letters, A.ranges(raw, a, b - a)[0]))
+                added += len(a)
+                if added > COUNTED:
+                    some[:], added = [_added_up(some)], 0
+                    if len(some[0][0]) > COUNTED:
+                        yield from rows()
         yield from rows()
+        A.trim()
 
     # a task's words are distinct: nothing to add up before they are dealt
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").repartition("word")
@@ -379,23 +431,67 @@ def dictionary(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
     return blobs
 
 
-_KEPT: dict = {}
-
-
-def _known(blobs: list[bytes]) -> dict[bytes, bytes]:
-    """The dictionary of these streams, ids as 16-bit numbers end to end, once per worker process; a broadcast's value is one object there."""
+class _Words:
+    """The words of a dictionary in arrays: no object for each, and words are looked up by the thousand."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]) -> None:
+        raws, sizes, hashes, ids, n_ids = ([np.zeros(0, kind)] for kind in (np.uint8, np.int32, np.uint64, np.uint16, np.int32))
+        for batch in batches:  # some at a time, copied, so that no batch stays
+            raw, offsets = A.strings(batch.column(0))
+            raws.append(raw.copy())
+            sizes.append(np.diff(offsets).astype(np.int32))
+            hashes.append(A.hashes_of(raw, offsets[:-1], offsets[1:], lower=False))
+            lists = batch.column(1)
+            ids.append(lists.flatten().to_numpy(zero_copy_only=False).copy())
+            n_ids.append(np.diff(lists.offsets.to_numpy()))
+        self.raw, size, self.hashes, self.ids, number = map(np.concatenate, (raws, sizes, hashes, ids, n_ids))
+        order = np.argsort(self.hashes)
+        place = lambda x: (np.cumsum(x) - x).astype(np.int32)[order]
+        self.hashes, self.starts, self.sizes, self.first_id, self.n_ids = self.hashes[order], place(size), size[order], place(number), number[order]
+
+    def find(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each word (a range of bytes with its hash), and whether it is there: the same bytes, not only the same hash."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        here = np.zeros(len(at), bool)
+        if len(self.hashes):
+            here = (self.hashes[at] == hashes) & (self.sizes[at] == ends - starts)
+            here[here] = _same(raw, starts[here], self.raw, self.starts[at[here]], self.sizes[at[here]])
+        return at, here
+
+    def ids_of(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, end to end."""
+        return A.ranges(self.ids, self.first_id[at], self.n_ids[at])[0]
+
+
+def _known(blobs: list[bytes]) -> _Words:
+    """The dictionary of these streams, once per worker process; a broadcast's value is one object there."""
     if _KEPT.get("of") is not blobs:
         _KEPT.clear()
-        out: dict[bytes, bytes] = {}
-        for blob in blobs:
-            for batch in pa.ipc.open_stream(blob):
-                ids = batch.column(1)
-                cuts, flat = (ids.offsets.to_numpy() * 2).tolist(), ids.values.to_numpy(zero_copy_only=False).astype("<u2").tobytes()
-                out.update(zip(batch.column(0).cast(pa.binary()).to_pylist(), [flat[a:b] for a, b in zip(cuts, cuts[1:])]))
-        _KEPT.update({"is": out, "of": blobs})
+        _KEPT.update({"is": _Words(batch for blob in blobs for whole in pa.ipc.open_stream(blob) for batch in A.slices(whole, 0, SLICE_BYTES)), "of": blobs})
+        A.trim()
     return _KEPT["is"]
 
 
+def _encoded(known: _Words, words: list[bytes], ranks: dict[bytes, int], fresh: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of words end to end and how many each has; words to fold, whose one id is _NONE, get a number in ``fresh``: which they are, and these numbers."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    starts, raw = np.concatenate([[0], ends[:-1]])[: len(ends)], np.frombuffer(b"".join(words), np.uint8)
+    at, here = known.find(raw, starts, ends, A.hashes_of(raw, starts, ends, lower=False))
+    size, cold, code, more = np.ones(len(words), np.int64), ~here, [], []
+    size[here] = known.n_ids[at[here]]
+    for k in np.flatnonzero(cold).tolist():
+        word = words[k]
+        if len(word) > LONG_WORD and len(word.decode()) > LONG_WORD:
+            more.append(np.array(merge_long(word, ranks), np.uint16))
+            size[k], cold[k] = len(more[-1]), False
+        else:
+            code.append(fresh.setdefault(word, len(fresh)))
+    ids = np.full(size.sum(), _NONE, np.uint16)
+    ids[np.repeat(here, size)] = known.ids_of(at[here])
+    ids[np.repeat(~here & ~cold, size)] = np.concatenate([np.zeros(0, np.uint16), *more])
+    return ids, size, cold, np.array(code, np.int64)
+
+
 def _latin(text: str) -> bool:
     """All characters are below 256."""
     try:
@@ -427,37 +523,35 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     latin = latin_pattern(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, split = _known(blobs.value).get, _splitter(pattern, latin)
-        cold = np.array([_NONE], "<u2").tobytes()
+        known, split = _known(blobs.value), _splitter(pattern, latin)
         for whole in batches:
             for batch in A.slices(whole, 1, SLICE_BYTES):
-                pieces, letters, _, place, rows = _pieces(batch.column(1), split, pattern == PLAIN)
-                ids = list(map(get, pieces))
+                raw, a, b, hashes, letters, _, place, rows = _piece_ranges(batch.column(1), split, pattern == PLAIN)
+                at, here = known.find(raw, a, b, hashes)
                 fresh: dict[bytes, int] = {}  # words to fold; in the ids, _NONE stands for each
-                codes, coded = [], np.full(len(pieces), -1)
-                for k in [k for k, x in enumerate(ids) if x is None]:
-                    own, code = [], []
-                    for word in [pieces[k]] if letters[k] else [w.encode() for w in split(pieces[k].decode())]:
-                        got = get(word)
-                        if got is None and len(word) > LONG_WORD and len(word.decode()) > LONG_WORD:
-                            got = np.array(merge_long(word, ranks.value), "<u2").tobytes()
-                        if got is None:
-                            code.append(fresh.setdefault(word, len(fresh)))
-                        own.append(got or cold)
-                    ids[k] = b"".join(own)
-                    if code:
-                        coded[k] = len(codes)
-                        codes.append(np.array(code, np.int32).tobytes())
-                numbers, done = A.gather(ids, np.dtype("<u2"), place)
-                parts, row = _parted(numbers, done[rows[1:]])
+                other, words = np.flatnonzero(~here), []
+                number = np.zeros(len(other) + 1, np.int64)  # words of pieces that are no words of the dictionary
+                for k, (x, y, whole_word) in enumerate(zip(a[other].tolist(), b[other].tolist(), letters[other].tolist())):
+                    piece = raw[x:y].tobytes()
+                    words += [piece] if whole_word else [w.encode() for w in split(piece.decode())]
+                    number[k + 1] = len(words)
+                own, size, cold, code = _encoded(known, words, ranks.value, fresh)
+                done, colds = (np.concatenate([[0], np.cumsum(x)])[number] for x in (size, cold))
+                ids = known.ids_of(at[here])
+                begin, sizes, first_cold, n_cold = (np.zeros(len(a), np.int64) for _ in range(4))
+                sizes[here], sizes[other], n_cold[other], first_cold[other] = known.n_ids[at[here]], np.diff(done), np.diff(colds), colds[:-1]
+                begin[here], begin[other] = np.cumsum(sizes[here]) - sizes[here], len(ids) + done[:-1]
+                numbers, ends = A.ranges(np.concatenate([ids, own]), begin[place], sizes[place])
+                parts, row = _parted(numbers, ends[rows[1:]])
                 folds: list[dict[int, int]] = [{} for _ in range(batch.num_rows)]
                 places: list[list[int]] = [[] for _ in range(batch.num_rows)]
-                cold_at = coded[place]
-                for r, code in zip(row.tolist(), A.gather(codes, np.dtype(np.int32), cold_at[cold_at >= 0])[0].tolist()):
-                    places[r].append(folds[r].setdefault(code, len(folds[r])))
+                cold_at = place[n_cold[place] > 0]
+                for r, c in zip(row.tolist(), A.ranges(code, first_cold[cold_at], n_cold[cold_at])[0].tolist()):
+                    places[r].append(folds[r].setdefault(c, len(folds[r])))
                 spelt = [w.decode() for w in fresh]
                 columns = [batch.column(0), parts, pa.array([[spelt[c] for c in x] for x in folds], pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "parts", "cold", "places"])
+        A.trim()
 
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     split = read.mapInArrow(run, f"doc_id {read.schema['doc_id'].dataType.simpleString()}, parts array<array<int>>, cold array<string>, places array<int>")
